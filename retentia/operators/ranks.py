@@ -73,11 +73,13 @@ def ranked(
     value: str = "value",
     weights: Sequence[str] = ("n",),
     buckets: int | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """Adds per weight w: w_before (sum over smaller values), w_tie (equal values), w_total.
 
     `keys` starts with "feature"; `freq` may hold several rows per value (one per class, say).
-    Average rank of a value is n_before + (n_tie + 1) / 2.
+    Average rank of a value is n_before + (n_tie + 1) / 2. `only` keeps the buckets it holds for,
+    tested on w_total, _off_w (weight in earlier buckets) and _in_w (weight in the bucket).
     """
     keys = list(keys)
     cut = with_buckets(freq, value, weights, buckets)
@@ -89,7 +91,11 @@ def ranked(
         "_bucket",
         *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_off_{w}") for w in weights],
         *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
+        *[F.col(w).alias(f"_in_{w}") for w in weights],
     )
+    if only is not None:
+        offsets = offsets.where(only)
+    offsets = offsets.drop(*[f"_in_{w}" for w in weights])
     running = Window.partitionBy(*keys, "_bucket").orderBy(value)
     tie = Window.partitionBy(*keys, "_bucket", value)
     out = cut.join(offsets, [*keys, "_bucket"])
@@ -107,7 +113,11 @@ def average_rank(weight: str = "n") -> Column:
 
 def quantiles_of(freq: DataFrame, probs: Sequence[float], by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles from distinct-value counts: (feature, by, prob, quantile)."""
-    r = ranked(freq, ["feature", *by], buckets=buckets)
+    # Only the buckets that hold a wanted order statistic are shuffled and sorted.
+    at = [(F.col("n_total") - 1) * F.lit(float(p)) for p in probs]
+    first, end = F.col("_off_n"), F.col("_off_n") + F.col("_in_n") - 1
+    touched = F.exists(F.array(*at), lambda x: (F.ceil(x) >= first) & (F.floor(x) <= end))
+    r = ranked(freq, ["feature", *by], buckets=buckets, only=touched)
     wanted = F.array(
         *[
             F.struct(
@@ -152,10 +162,27 @@ def quantiles(
     return quantiles_of(frequencies(long, by), probs, by)
 
 
+# Up to this many rows the built-in exact percentile fits one task's memory with ease.
+ONE_TASK_ROWS = 500_000
+
+
+def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Like `quantiles`, but counts the rows first and takes the one-shuffle way when they are few."""
+    if df.count() > ONE_TASK_ROWS:
+        return quantiles(df, columns, probs, by)
+    probs = [float(p) for p in probs]
+    long = melt(df, columns, by)
+    for b in by:
+        long = long.where(named(b).isNotNull())
+    q = long.groupBy("feature", *by).agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q"))
+    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("q").alias("quantile"))
+    return q.select("feature", *by, F.inline(pairs).alias("prob", "quantile"))
+
+
 def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float]]:
     """{column: {prob: value}}; at most columns x probs numbers reach the driver."""
     out: dict[str, dict[float, float]] = {c: {} for c in columns}
-    for r in quantiles(df, columns, probs).collect():
+    for r in quantile_table(df, columns, probs).collect():
         out[r["feature"]][r["prob"]] = r["quantile"]
     return out
 

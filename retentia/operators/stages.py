@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from retentia.functions.expr import map_codes, named
 from retentia.operators.features import drop_columns, select_features
-from retentia.operators.ranks import quantile_map, quantiles
+from retentia.operators.ranks import quantile_map, quantile_table, quantiles
 
 log = logging.getLogger(__name__)
 
@@ -65,9 +65,9 @@ def modes(df: DataFrame, columns) -> dict:
     return out
 
 
-def group_medians(df: DataFrame, target: str, group: str) -> DataFrame:
+def group_medians(df: DataFrame, target: str, group: str, source=quantiles) -> DataFrame:
     """(group, median) of a column, nulls left out."""
-    q = quantiles(df, [target], [0.5], [group])
+    q = source(df, [target], [0.5], [group])
     return q.select(named(group), F.col("quantile").alias("_median"))
 
 
@@ -113,7 +113,7 @@ class DataImputer(_Settings, Estimator):
                 fill = medians[column].get(0.5)
             entry = {"column": column, "fill": fallback if fill is None else fill}
             if s["strategy"] == "median_by_group" and s["by"] in df.columns:
-                rows = group_medians(df, column, s["by"]).limit(MAX_LITERAL_GROUPS + 1).collect()
+                rows = group_medians(df, column, s["by"], quantile_table).limit(MAX_LITERAL_GROUPS + 1).collect()
                 if len(rows) > MAX_LITERAL_GROUPS:
                     raise ValueError(f"{s['by']} has too many groups; use fill_group_median")
                 entry["by"] = s["by"]

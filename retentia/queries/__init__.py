@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["base", "features", "preparation"]
+FAMILIES = ["base", "features", "preparation", "profiling"]
 
 
 def load():
