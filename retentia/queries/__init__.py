@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["base", "features", "preparation", "profiling"]
+FAMILIES = ["base", "features", "preparation", "profiling", "statistics"]
 
 
 def load():
