@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["base", "features", "preparation", "profiling", "statistics"]
+FAMILIES = ["base", "features", "preparation", "profiling", "statistics", "quality", "evaluation", "sampling"]
 
 
 def load():
