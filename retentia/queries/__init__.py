@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["base", "features", "preparation", "profiling", "statistics", "quality", "evaluation", "sampling"]
+FAMILIES = ["base", "features", "preparation", "profiling", "statistics", "quality", "evaluation", "sampling", "sources"]
 
 
 def load():
