@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["base", "features", "preparation", "profiling", "statistics", "quality", "evaluation", "sampling", "sources"]
+FAMILIES = ["base", "features", "preparation", "profiling", "statistics", "quality", "evaluation", "sampling", "sources", "modeling"]
 
 
 def load():
