@@ -20,6 +20,7 @@ from retentia.operators.reduction import fit_reducer
 from retentia.operators.sampling import class_counts, random_sample, with_class_weight
 from retentia.operators.smote import smote
 from retentia.operators.stages import DataImputer, RobustScalerTransformer, StandardScalerTransformer
+from retentia.session import fit_width
 
 log = logging.getLogger(__name__)
 
@@ -79,7 +80,7 @@ def build_estimator(kind: str, params: dict, features: str, label: str, rows: in
             raise ValueError(f"penalty must be l1 or l2, not {penalty!r}")
         made = LogisticRegression(
             regParam=1.0 / (p.pop("C") * rows), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-            maxIter=p.pop("max_iter"), standardization=False, **common,
+            maxIter=p.pop("max_iter"), standardization=False, tol=1e-5, **common,
         )
     elif kind == "random_forest":
         made = RandomForestClassifier(
@@ -165,9 +166,10 @@ def fit_pipeline(train: DataFrame, key: str, target: str, spec: PipelineSpec) ->
     rows = rows.persist()
     try:
         counts = class_counts(rows, target)
+        n = sum(counts.values())
         weighted = with_class_weight(rows, target, WEIGHT, positive)
-        estimator = build_estimator(spec.model, spec.params, column, target, sum(counts.values()), spec.seed)
-        fitted = estimator.fit(weighted)
+        estimator = build_estimator(spec.model, spec.params, column, target, n, spec.seed)
+        fitted = estimator.fit(fit_width(weighted, n))
     finally:
         rows.unpersist()
     return FittedPipeline(PipelineModel([*prepared.stages, *reducers, fitted]), names, spec)

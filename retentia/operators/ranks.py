@@ -166,9 +166,11 @@ def quantiles(
 ONE_TASK_ROWS = 500_000
 
 
-def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def quantile_table(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), n_rows: int | None = None
+) -> DataFrame:
     """Like `quantiles`, but counts the rows first and takes the one-shuffle way when they are few."""
-    if df.count() > ONE_TASK_ROWS:
+    if (df.count() if n_rows is None else n_rows) > ONE_TASK_ROWS:
         return quantiles(df, columns, probs, by)
     probs = [float(p) for p in probs]
     long = melt(df, columns, by)
@@ -179,10 +181,12 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     return q.select("feature", *by, F.inline(pairs).alias("prob", "quantile"))
 
 
-def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float]]:
+def quantile_map(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], n_rows: int | None = None
+) -> dict[str, dict[float, float]]:
     """{column: {prob: value}}; at most columns x probs numbers reach the driver."""
     out: dict[str, dict[float, float]] = {c: {} for c in columns}
-    for r in quantile_table(df, columns, probs).collect():
+    for r in quantile_table(df, columns, probs, (), n_rows).collect():
         out[r["feature"]][r["prob"]] = r["quantile"]
     return out
 

@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from retentia.functions.expr import named
 from retentia.operators.stages import _Settings
+from retentia.session import fit_width
 
 METHODS = ("none", "rfe", "pca", "kpca", "lda")
 # Landmarks of the kernel map: its matrices are this size squared.
@@ -166,9 +167,10 @@ def fit_rfe(
     """Drop the weakest feature and refit until n are left; returns the kept positions too."""
     left = list(range(_width(df, col)))
     data = df.select(named(col).alias("_all"), named(target).cast("double").alias("_y")).persist()
+    narrow = fit_width(data, data.count())
     try:
         while len(left) > n:
-            cut = VectorSlicer(inputCol="_all", outputCol="_x", indices=left).transform(data)
+            cut = VectorSlicer(inputCol="_all", outputCol="_x", indices=left).transform(narrow)
             if estimator == "random_forest":
                 model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=50, maxDepth=10, seed=seed).fit(cut)
                 weight = model.featureImportances.toArray()

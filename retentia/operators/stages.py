@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from retentia.functions.expr import map_codes, named
 from retentia.operators.features import drop_columns, select_features
-from retentia.operators.ranks import quantile_map, quantile_table, quantiles
+from retentia.operators.ranks import ONE_TASK_ROWS, quantile_map, quantile_table, quantiles
 
 log = logging.getLogger(__name__)
 
@@ -65,9 +65,18 @@ def modes(df: DataFrame, columns) -> dict:
     return out
 
 
-def group_medians(df: DataFrame, target: str, group: str, source=quantiles) -> DataFrame:
+def _small_statistics(df: DataFrame, median_of, mode_of) -> tuple[dict, dict]:
+    """Medians and modes of a table that fits one task, from one aggregate."""
+    types = dict(df.dtypes)
+    aggs = [F.percentile(F.nanvl(named(c).cast("double"), F.lit(None)), 0.5).alias(f"q{i}") for i, c in enumerate(median_of)]
+    aggs += [F.mode(named(c) if types[c] == "string" else named(c).cast("double"), True).alias(f"m{i}") for i, c in enumerate(mode_of)]
+    row = df.agg(*aggs).first() if aggs else {}
+    return {c: {0.5: row[f"q{i}"]} for i, c in enumerate(median_of)}, {c: row[f"m{i}"] for i, c in enumerate(mode_of)}
+
+
+def group_medians(df: DataFrame, target: str, group: str) -> DataFrame:
     """(group, median) of a column, nulls left out."""
-    q = source(df, [target], [0.5], [group])
+    q = quantiles(df, [target], [0.5], [group])
     return q.select(named(group), F.col("quantile").alias("_median"))
 
 
@@ -99,9 +108,21 @@ class DataImputer(_Settings, Estimator):
             else:
                 specs.append({**spec, "by": spec.get("group_column", spec.get("group_by"))})
         median_of = [s["column"] for s in specs if s["strategy"].startswith("median")]
-        medians = quantile_map(df, median_of, [0.5]) if median_of else {}
         mode_of = [s["column"] for s in specs if s["strategy"] == "mode"]
-        most = modes(df, mode_of) if mode_of else {}
+        n = df.count()
+        if n <= ONE_TASK_ROWS:
+            medians, most = _small_statistics(df, median_of, mode_of)
+        else:
+            medians = quantile_map(df, median_of, [0.5], n) if median_of else {}
+            most = modes(df, mode_of) if mode_of else {}
+        grouped = {}
+        for by in {s["by"] for s in specs if s["strategy"] == "median_by_group" and s["by"] in df.columns}:
+            targets = [s["column"] for s in specs if s["strategy"] == "median_by_group" and s["by"] == by]
+            rows = quantile_table(df, targets, [0.5], [by], n).limit(MAX_LITERAL_GROUPS * len(targets) + 1).collect()
+            if len(rows) > MAX_LITERAL_GROUPS * len(targets):
+                raise ValueError(f"{by} has too many groups; use fill_group_median")
+            for r in rows:
+                grouped.setdefault((by, r["feature"]), []).append([r[by], r["quantile"]])
         learned = []
         for s in specs:
             column, fallback = s["column"], s.get("fallback_value")
@@ -113,11 +134,7 @@ class DataImputer(_Settings, Estimator):
                 fill = medians[column].get(0.5)
             entry = {"column": column, "fill": fallback if fill is None else fill}
             if s["strategy"] == "median_by_group" and s["by"] in df.columns:
-                rows = group_medians(df, column, s["by"], quantile_table).limit(MAX_LITERAL_GROUPS + 1).collect()
-                if len(rows) > MAX_LITERAL_GROUPS:
-                    raise ValueError(f"{s['by']} has too many groups; use fill_group_median")
-                entry["by"] = s["by"]
-                entry["groups"] = [[r[0], r[1]] for r in rows]
+                entry["by"], entry["groups"] = s["by"], grouped.get((s["by"], column), [])
             learned.append(entry)
         return DataImputerModel(learned)
 

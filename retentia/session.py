@@ -53,3 +53,12 @@ def cut_lineage(df):
 def bucket_count(spark: SparkSession) -> int:
     """Buckets per ordered key for prefix sums; follows the session's shuffle width."""
     return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024))
+
+
+# Rows worth a task of their own in an iterative fit; fewer make its overhead the whole cost.
+ROWS_PER_TASK = 100_000
+
+
+def fit_width(df, n_rows: int):
+    """Narrow small inputs of iterative fits to few tasks; large ones keep their partitions."""
+    return df.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
