@@ -39,7 +39,7 @@ def sweep(data: DataFrame, ks: Sequence[int] = range(2, 11), n_init: int = 10, s
         return k, (model, model.summary.trainingCost, score)
 
     with ThreadPoolExecutor(parallelism) as pool:
-        return dict(pool.map(inheritable_thread_target(one), ks))
+        return dict(pool.map(inheritable_thread_target(data.sparkSession)(one), ks))
 
 
 def segment(df: DataFrame, columns: Sequence[str], target: str, ks: Sequence[int] = range(2, 11), n_init: int = 10, seed: int = 42):

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.expr import cut, named
-from retentia.operators.ranks import frequencies, melt, quantile_map, quantiles_of
+from retentia.operators.ranks import frequencies, melt, quantile_map, quantiles_of, ranked
 
 
 def per_column(df: DataFrame, columns: Sequence[str], make, name: str = "column") -> DataFrame:
@@ -242,11 +242,9 @@ def group_lift(df: DataFrame, value: str, group: str, baseline: str) -> DataFram
 
 
 def cumulative_share(df: DataFrame, order: str, target: str) -> DataFrame:
-    """Running share (percent) of positives by an ordered discrete key."""
-    grouped = df.where(named(order).isNotNull()).groupBy(named(order).alias("key")).agg(
-        F.sum(named(target)).alias("positives"), F.count(F.lit(1)).alias("total")
-    )
-    # One row per key value; the key is a small discrete scale such as years.
-    w = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    """Running share (percent) of positives by an ordered numeric key, over all positives."""
+    long = melt(df, [order], [named(target).cast("long").alias("_y")])
+    r = ranked(frequencies(long, weights={"total": F.lit(1), "positives": F.col("_y")}), weights=["positives"])
     every = df.agg(F.sum(named(target))).scalar()
-    return grouped.withColumn("cumulative_pct", F.sum("positives").over(w) / every * 100)
+    upto = F.col("positives_before") + F.col("positives_tie")
+    return r.select(F.col("value").alias("key"), "positives", "total", (upto / every * 100).alias("cumulative_pct"))

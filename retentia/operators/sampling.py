@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retentia.functions.expr import named
@@ -23,13 +23,44 @@ def hash_key(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), named(key).cast("string")).cast("binary"))
 
 
-def shuffled(df: DataFrame, key: str, by: list[str], seed: int, into: str = "_rn") -> DataFrame:
-    """Adds the row's place in a seeded random order of its class.
+def rank_cutoffs(df: DataFrame, key: str, target: str, ranks: dict, seed: int) -> dict:
+    """{class: [(hash, key) at each wanted rank]} in the seeded order of a class.
 
-    The first three hex digits cut each class into 4096 even buckets that are numbered apart.
+    Counts per hash bucket say which bucket holds a rank; only those few buckets are sorted. The
+    rows themselves are then told apart by comparing with the cutoffs, without a shuffle.
     """
-    hashed = df.withColumn("_h", hash_key(key, seed))
-    return numbered(hashed, ["_h", key], by, into, F.substring("_h", 1, 3)).drop("_h")
+    order = df.select(named(key).alias("k"), named(target).alias("y"), hash_key(key, seed).alias("h"))
+    # 65,536 even hash buckets per class, 256 when the classes are many: the counts stay few.
+    order = order.withColumn("b", F.substring("h", 1, 4 if len(ranks) <= 16 else 2))
+    counts: dict = {}
+    for r in order.groupBy("y", "b").agg(F.count(F.lit(1)).alias("n")).orderBy("y", "b").collect():
+        counts.setdefault(r.y, []).append((r.b, r.n))
+    wanted, test = {}, F.lit(False)
+    for y, places in ranks.items():
+        for rank in places:
+            seen = 0
+            for b, n in counts.get(y, []):
+                if seen < rank <= seen + n:
+                    wanted.setdefault((y, b), []).append((rank - seen, rank))
+                    test = test | (F.col("y").eqNullSafe(F.lit(y)) & (F.col("b") == b))
+                seen += n
+    found: dict = {}
+    if wanted:
+        place = F.row_number().over(Window.partitionBy("y", "b").orderBy("h", "k"))
+        inner = sorted({i for places in wanted.values() for i, _ in places})
+        for r in order.where(test).withColumn("i", place).where(F.col("i").isin(inner)).collect():
+            for i, rank in wanted.get((r.y, r.b), []):
+                if i == r.i:
+                    found[(r.y, rank)] = (r.h, r.k)
+    return {y: [found.get((y, rank)) for rank in places] for y, places in ranks.items()}
+
+
+def _at_most(key: str, seed: int, cutoff) -> Column:
+    """Whether the row comes no later than the cutoff; no cutoff lies before every row."""
+    if cutoff is None:
+        return F.lit(False)
+    h = hash_key(key, seed)
+    return (h < cutoff[0]) | ((h == cutoff[0]) & (named(key) <= F.lit(cutoff[1])))
 
 
 def class_counts(df: DataFrame, target: str) -> dict:
@@ -52,26 +83,45 @@ def class_quotas(counts: dict, share: float) -> dict:
 
 
 def stratified_split(df: DataFrame, key: str, target: str, test_size: float = 0.20, seed: int = 42, into: str = "split") -> DataFrame:
-    """Adds 'holdout' or 'train' with exact class shares."""
+    """Adds 'holdout' or 'train' with exact class shares; the rows stay where they are."""
     quota = class_quotas(class_counts(df, target), test_size)
-    limit = F.lit(0)
-    for c, q in quota.items():
-        limit = F.when(named(target).eqNullSafe(F.lit(c)), F.lit(q)).otherwise(limit)
-    placed = shuffled(df, key, [target], seed)
-    return placed.withColumn(into, F.when(F.col("_rn") <= limit, "holdout").otherwise("train")).drop("_rn", "_rn_total")
+    cutoffs = rank_cutoffs(df, key, target, {y: [q] for y, q in quota.items()}, seed)
+    held = F.lit(False)
+    for y, (cutoff,) in cutoffs.items():
+        held = held | (named(target).eqNullSafe(F.lit(y)) & _at_most(key, seed, cutoff))
+    return df.withColumn(into, F.when(held, "holdout").otherwise("train"))
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = 42, into: str = "fold") -> DataFrame:
-    """Adds a fold number 0..k-1, every class dealt out evenly."""
-    placed = shuffled(df, key, [target], seed)
-    return placed.withColumn(into, ((F.col("_rn") - 1) % k).cast("int")).drop("_rn", "_rn_total")
+    """Adds a fold number 0..k-1: equal stretches of each class's seeded order, larger ones first."""
+    ends = {}
+    for y, n in class_counts(df, target).items():
+        sizes = [n // k + (i < n % k) for i in range(k)]
+        ends[y] = [sum(sizes[: i + 1]) for i in range(k - 1)]
+    fold = F.lit(0)
+    for y, cutoffs in rank_cutoffs(df, key, target, ends, seed).items():
+        number = F.lit(k - 1)
+        for i in reversed(range(k - 1)):
+            number = F.when(_at_most(key, seed, cutoffs[i]), i).otherwise(number)
+        fold = F.when(named(target).eqNullSafe(F.lit(y)), number).otherwise(fold)
+    return df.withColumn(into, fold.cast("int"))
+
+
+def first_of(df: DataFrame, key: str, n: int, seed: int) -> Column:
+    """Condition that holds for exactly n rows, the first of the seeded order."""
+    whole = df.select(named(key), F.lit(0).alias("_all"))
+    return _at_most(key, seed, rank_cutoffs(whole, key, "_all", {0: [n]}, seed)[0][0])
 
 
 def positional_halves(df: DataFrame, order: str, names=("first", "second"), into: str = "half") -> DataFrame:
-    """The first half of the rows in the order of a numeric key, and the rest."""
-    placed = numbered(df, [order], into="_rn")
-    first = F.col("_rn") <= F.floor(F.col("_rn_total") / 2)
-    return placed.withColumn(into, F.when(first, names[0]).otherwise(names[1])).drop("_rn", "_rn_total")
+    """The first half of the rows in the order of a unique numeric key, and the rest.
+
+    Only the key column is ordered, to find its middle value.
+    """
+    placed = numbered(df.select(named(order)), [order], into="_rn")
+    middle = placed.where(F.col("_rn") == F.floor(F.col("_rn_total") / 2)).select(order).scalar()
+    first = F.coalesce(named(order) <= middle, F.lit(False))
+    return df.withColumn(into, F.when(first, names[0]).otherwise(names[1]))
 
 
 def random_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retentia.functions.expr import named
 from retentia.operators.knn import BLOCK_ROWS, nearest
-from retentia.operators.ranks import numbered
+from retentia.operators.sampling import first_of
 
 
 def _unit(*parts: Column) -> Column:
@@ -36,12 +36,9 @@ def smote(
     points = df.where(named(target) == minority).select(
         named(key).cast("long").alias("id"), vector_to_array(named(features)).alias("x")
     )
-    # Key hashes are uniform, so their top bits cut the order into even buckets.
-    hashed = points.withColumn("_h", F.xxhash64("id", F.lit(seed)))
-    order = numbered(hashed, ["_h", "id"], into="rn", bucket=F.shiftright("_h", 52))
     each, rest = divmod(wanted, n)
-    copies = F.lit(each) + F.when(F.col("rn") <= rest, 1).otherwise(0)
-    bases = order.where(copies > 0).select("id", "x", F.explode(F.sequence(F.lit(1), copies)).alias("j"))
+    copies = F.lit(each) + F.when(first_of(points, "id", rest, seed), 1).otherwise(0)
+    bases = points.where(copies > 0).select("id", "x", F.explode(F.sequence(F.lit(1), copies)).alias("j"))
     drawn = bases.withColumns(
         {
             "rank": (F.floor(_unit(F.col("id"), F.col("j"), F.lit(seed)) * k) + 1).cast("int"),

@@ -56,7 +56,7 @@ def cross_validate(
             return fit_pipeline(folds.where(F.col("fold") != i), key, target, spec).score(folds.where(F.col("fold") == i))
 
         with ThreadPoolExecutor(parallelism) as pool:
-            scored = list(pool.map(inheritable_thread_target(one), range(k)))
+            scored = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(k)))
         every = reduce(DataFrame.unionByName, [s.select("fold", target, "p") for s in scored])
         rows = classification_metrics(every, target, "p", threshold, ["fold"]).select((F.col("fold") + 1).alias("fold"), *METRICS)
         found = rows.collect()  # k rows

@@ -356,9 +356,9 @@ def _(spark, sf):
 
 
 @query("top_models_per_experiment", RUNS_SQL + """ SELECT experiment_name, name, run_uuid, round(roc_auc, 6) AS roc_auc FROM
-    (SELECT *, row_number() OVER (PARTITION BY experiment_name, name ORDER BY roc_auc DESC, run_uuid) AS k FROM runs JOIN experiments USING (experiment_id) JOIN run_metrics USING (run_uuid)) WHERE k = 1""")
+    (SELECT *, row_number() OVER (PARTITION BY experiment_name, name ORDER BY roc_auc DESC, run_uuid) AS k FROM runs JOIN experiments USING (experiment_id) JOIN run_metrics USING (run_uuid) WHERE isfinite(roc_auc)) WHERE k = 1""")
 def _(spark, sf):
     runs, experiments, wide = run_tables(spark, sf)
-    both = runs.join(experiments, "experiment_id").join(wide, "run_uuid")
+    both = runs.join(experiments, "experiment_id").join(wide.where("roc_auc IS NOT NULL"), "run_uuid")
     best = both.groupBy("experiment_name", "name").agg(F.min_by(F.struct("run_uuid", "roc_auc"), F.struct(-F.col("roc_auc"), F.col("run_uuid"))).alias("b"))
     return rounded(best.select("experiment_name", "name", "b.run_uuid", "b.roc_auc"))

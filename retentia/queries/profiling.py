@@ -122,16 +122,16 @@ def _(spark, sf):
 @query(
     "iqr_outliers",
     union(
-        f"""SELECT '{c}' AS feature, round(any_value(q3 - q1), 4) AS iqr, round(any_value(q1 - 1.5 * (q3 - q1)), 4) AS fence_lo,
-        round(any_value(q3 + 1.5 * (q3 - q1)), 4) AS fence_hi,
+        f"""SELECT '{c}' AS feature, round(any_value(q3 - q1), 6) AS iqr, round(any_value(q1 - 1.5 * (q3 - q1)), 6) AS fence_lo,
+        round(any_value(q3 + 1.5 * (q3 - q1)), 6) AS fence_hi,
         count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers,
-        round(count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) / count({c}) * 100, 4) AS outliers_pct
+        round(count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) / count({c}) * 100, 6) AS outliers_pct
         FROM churn_base, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM churn_base)"""
         for c in NUMERIC
     ),
 )
 def _(spark, sf):
-    return rounded(p.iqr_outliers(churn_base(spark, sf), NUMERIC), 4)
+    return rounded(p.iqr_outliers(churn_base(spark, sf), NUMERIC))
 
 
 @query(
@@ -300,7 +300,7 @@ def _(spark, sf):
 
 @query(
     "cumulative_share",
-    """g AS (SELECT Tenure AS key, CAST(sum(Exited) AS BIGINT) AS positives, count(*) AS total FROM churn_base WHERE Tenure IS NOT NULL GROUP BY 1)
+    """g AS (SELECT CAST(Tenure AS DOUBLE) AS key, CAST(sum(Exited) AS BIGINT) AS positives, count(*) AS total FROM churn_base WHERE Tenure IS NOT NULL GROUP BY 1)
     SELECT *, round(sum(positives) OVER (ORDER BY key) / (SELECT sum(Exited) FROM churn_base) * 100, 6) AS cumulative_pct FROM g""",
 )
 def _(spark, sf):

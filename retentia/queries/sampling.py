@@ -28,7 +28,8 @@ def _(spark, sf):
     return rounded(split.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(TARGET).alias("rate")))
 
 
-@query("stratified_folds", ORDER_SQL + " SELECT CustomerId, Exited, CAST((rn - 1) % 5 AS INT) AS fold FROM placed")
+@query("stratified_folds", ORDER_SQL + """ SELECT CustomerId, Exited, CAST(CASE WHEN rn <= (k % 5) * (k // 5 + 1) THEN (rn - 1) // (k // 5 + 1)
+    ELSE k % 5 + (rn - (k % 5) * (k // 5 + 1) - 1) // (k // 5) END AS INT) AS fold FROM placed JOIN n USING (Exited)""")
 def _(spark, sf):
     return s.stratified_folds(churn_base(spark, sf), KEY, TARGET).select(KEY, TARGET, "fold")
 

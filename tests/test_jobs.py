@@ -99,9 +99,9 @@ def bank(spark, n=9000):
 def test_bank_suite(spark):
     assert len(BANK_SUITE) == len(BASE_SUITE)
     results = {(r.type, r.column): r.success for r in q.run_suite(bank(spark), BANK_SUITE).collect()}
-    failed = [k for k, ok in results.items() if not ok]
-    assert [c for _, c in failed] == ["Age"] and "stdev" not in failed[0][1] or failed == [] or len(failed) <= 1
-    assert results[("expect_table_columns_to_match_set", None)]
+    assert all(results.values())
+    short = {(r.type, r.column) for r in q.run_suite(bank(spark, 100), BANK_SUITE).collect() if not r.success}
+    assert ("expect_table_row_count_to_be_between", None) in short
 
 
 def test_suite_reads_the_table_once(base):
