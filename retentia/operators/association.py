@@ -40,14 +40,14 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     weights = [f"w{j}" for j in range(len(columns))]
     freq = frequencies(long.drop("_key"), weights={w: F.col(w) for w in weights})
     # A value held by a large share of the rows makes a hot join key: the salt spreads its rows.
-    # Only values repeated more than once per salt are copied, so the copies never exceed the rows.
+    # Only values repeated more than 64 times per salt are copied, so copies never exceed the rows.
     salts = 16
-    heavy = F.greatest(*[F.col(f"{w}_tie") for w in weights]) > salts * 64
+    heavy = F.greatest(*[F.col(w) for w in weights]) > salts * 64
     spread = ranked(freq, weights=weights).select(
         "feature", "value", F.array(*[average_rank(w) for w in weights]).alias("ranks"),
         F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(-1)))).alias("_salt"),
     )
-    hot = spread.where("_salt = 0").select("feature", "value", F.lit(True).alias("_hot"))
+    hot = freq.where(heavy).select("feature", "value", F.lit(True).alias("_hot"))
     keyed = long.select("_key", "feature", "value").join(hot, ["feature", "value"], "left")
     keyed = keyed.withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int")).otherwise(-1)

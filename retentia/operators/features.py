@@ -160,20 +160,20 @@ def learn_vocabulary(df: DataFrame, column: str) -> tuple[str, ...]:
 
 def encode(df: DataFrame, specs) -> DataFrame:
     """One-hot (source dropped, null gives all zeros) and code maps (source kept)."""
+    new, done = {}, []
     for s in specs:
         if not _present(df, [s.column], f"encoding {s.method}"):
             continue
         if s.method == "one_hot":
             words = s.vocabulary or learn_vocabulary(df, s.column)
             prefix = s.prefix or s.column.lower()
-            for word in words[1:] if s.drop_first else words:
-                df = df.withColumn(f"{prefix}_{word}", flag(s.column, "==", word))
-            df = df.drop(s.column)
+            new.update({f"{prefix}_{word}": flag(s.column, "==", word) for word in (words[1:] if s.drop_first else words)})
+            done.append(s.column)
         elif s.method in ("binary", "label"):
-            df = df.withColumn(s.new_column or f"{s.column}_encoded", map_codes(s.column, s.mapping))
+            new[s.new_column or f"{s.column}_encoded"] = map_codes(s.column, s.mapping)
         else:
             log.warning("unknown encoding %r for %s", s.method, s.column)
-    return df
+    return df.withColumns(new).drop(*done) if new else df
 
 
 def sanitise_names(df: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def kruskal(df: DataFrame, columns: Sequence[str], groupings: Sequence[str]) ->
     long = melt(df, columns, [named(c).cast("string").alias(x) for c, x in zip(groupings, g)])
     weights = {f"w{i}": F.col(x).isNotNull().cast("long") for i, x in enumerate(g)}
     freq = frequencies(long, g, weights={**weights, "n": F.lit(1)})
-    r = ranked(freq, weights=list(weights))
+    r = ranked(freq, weights=list(weights), repeated=True)
     axes = F.array(
         *[
             F.struct(

@@ -74,10 +74,12 @@ def ranked(
     weights: Sequence[str] = ("n",),
     buckets: int | None = None,
     only: Column | None = None,
+    repeated: bool = False,
 ) -> DataFrame:
     """Adds per weight w: w_before (sum over smaller values), w_tie (equal values), w_total.
 
-    `keys` starts with "feature"; `freq` may hold several rows per value (one per class, say).
+    `keys` starts with "feature". `freq` has one row per key and value; with `repeated` it may
+    hold several (one per class, say), which then share one place.
     Average rank of a value is n_before + (n_tie + 1) / 2. `only` keeps the buckets it holds for,
     tested on w_total, _off_w (weight in earlier buckets) and _in_w (weight in the bucket).
     """
@@ -101,7 +103,7 @@ def ranked(
     out = cut.join(offsets, [*keys, "_bucket"])
     out = out.withColumns(
         {f"_cum_{w}": F.col(f"_off_{w}") + F.sum(w).over(running) for w in weights}
-    ).withColumns({f"{w}_tie": F.sum(w).over(tie) for w in weights})
+    ).withColumns({f"{w}_tie": F.sum(w).over(tie) if repeated else F.col(w) for w in weights})
     return out.withColumns({f"{w}_before": F.col(f"_cum_{w}") - F.col(f"{w}_tie") for w in weights}).drop(
         "_bucket", *[f"_off_{w}" for w in weights], *[f"_cum_{w}" for w in weights]
     )

@@ -17,6 +17,8 @@ def local_session(app: str = "retentia", cpus: str = "8", memory: str = "8g") ->
         .config("spark.sql.shuffle.partitions", str(cpus if str(cpus).isdigit() else 8))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call sites of columns are only for error messages, and cost most of a plan's build time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
