@@ -154,18 +154,26 @@ def check(df: DataFrame, rules: Sequence[Rule], fail_on_error: bool = False) ->
     return report, {"success": not failed, "total": len(rows), "passed": len(rows) - len(failed), "failed": len(failed)}
 
 
-def split_rows(df: DataFrame, rules: Sequence[Rule], into: str = "violated") -> DataFrame:
-    """Adds the types of the value rules each row breaks, as an array."""
+def _row_tests(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[Rule, Column]]:
     tests = [(r, violation(r)) for r in rules if r.column is None or r.column in df.columns]
-    said = [F.when(t, F.lit(f"{r.column}:{r.kind}")) for r, t in tests if t is not None]
+    return [(r, t) for r, t in tests if t is not None]
+
+
+def split_rows(df: DataFrame, rules: Sequence[Rule], into: str = "violated") -> DataFrame:
+    """Adds column and type of the value rules each row breaks, as an array."""
+    said = [F.when(t, F.lit(f"{r.column}:{r.kind}")) for r, t in _row_tests(df, rules)]
     if not said:
         return df.withColumn(into, F.array().cast("array<string>"))
-    return df.withColumn(into, F.filter(F.array(*said), lambda x: x.isNotNull()))
+    return df.withColumn(into, F.array_compact(F.array(*said)))
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Only the rows that break a value rule, with the rules they break."""
-    return split_rows(df, rules).where(F.size("violated") > 0)
+    # The plain condition is tested first, so good rows never build the array.
+    broken = F.lit(False)
+    for _, t in _row_tests(df, rules):
+        broken = broken | t
+    return split_rows(df.where(broken), rules)
 
 
 def suggest(df: DataFrame, numeric: Sequence[str], discrete: Sequence[str], tolerance: float = 0.2) -> DataFrame:

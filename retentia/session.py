@@ -37,6 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="retentia-")
         spark.conf.set("spark.checkpoint.dir", root)
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
