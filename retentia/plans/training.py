@@ -17,6 +17,7 @@ from retentia.operators.metrics import METRICS, classification_metrics
 from retentia.operators.models import REDUCER_SPACES, SPACES, FittedPipeline, PipelineSpec, fit_pipeline
 from retentia.operators.sampling import stratified_folds, stratified_split
 from retentia.plans.preprocessing import BASE_FEATURES, IMPUTATION, LOG_COLUMNS, ROBUST_COLUMNS, STANDARD_COLUMNS
+from retentia.session import fit_width
 
 log = logging.getLogger(__name__)
 
@@ -49,8 +50,9 @@ def cross_validate(
     seed: int = 42, parallelism: int = 5,
 ) -> DataFrame:
     """(fold, five metrics). Folds fit side by side; their scores are evaluated in one job."""
-    folds = stratified_folds(df, key, target, k, seed, "fold").persist()
+    cached = stratified_folds(df, key, target, k, seed, "fold").persist()
     try:
+        folds = fit_width(cached, cached.count())
 
         def one(i):
             return fit_pipeline(folds.where(F.col("fold") != i), key, target, spec).score(folds.where(F.col("fold") == i))
@@ -62,7 +64,7 @@ def cross_validate(
         found = rows.collect()  # k rows
         return df.sparkSession.createDataFrame(found, rows.schema)
     finally:
-        folds.unpersist()
+        cached.unpersist()
 
 
 def summary(folds: DataFrame) -> dict[str, float]:
@@ -76,6 +78,7 @@ def holdout_evaluation(
 ) -> tuple[FittedPipeline, DataFrame, DataFrame]:
     """(fitted pipeline, scored holdout, one row of metrics)."""
     split = stratified_split(df, key, target, test_size, seed).persist()
+    split = fit_width(split, split.count())
     fitted = fit_pipeline(split.where("split = 'train'"), key, target, spec)
     scored = fitted.score(split.where("split = 'holdout'"))
     return fitted, scored, classification_metrics(scored, target, "p", threshold)
