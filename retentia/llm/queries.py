@@ -1,8 +1,8 @@
 """The registered queries of this subpackage with the SQL that must give the same rows."""
 
-from retentia.llm import op1_wavelet, op4_decontaminate, op6_warc, op8_token_counts
+from retentia.llm import op1_wavelet, op4_decontaminate, op6_warc, op8_token_counts, op9_pieces
 
-MODULES = [op1_wavelet, op4_decontaminate, op6_warc, op8_token_counts]
+MODULES = [op1_wavelet, op4_decontaminate, op6_warc, op8_token_counts, op9_pieces]
 
 
 def load():
