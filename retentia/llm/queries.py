@@ -1,10 +1,10 @@
 """The registered queries of this subpackage with the SQL that must give the same rows."""
 
 from retentia.llm import (
-    op1_wavelet, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii,
+    op1_wavelet, op2_language, op3_quality, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii,
 )
 
-MODULES = [op1_wavelet, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii]
+MODULES = [op1_wavelet, op2_language, op3_quality, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii]
 
 
 def load():
