@@ -28,6 +28,24 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+# Rows of a drop list that may be broadcast: ids and hashes take about 100 bytes each as a hashed relation.
+MAX_BROADCAST_DROPS = 500_000
+
+
+def without(documents: DataFrame, drops: DataFrame, label: str) -> DataFrame:
+    """Rows of `documents` not named by `drops` (id, and text_hash if it has one), all their columns.
+
+    The drop list is written first and broadcast only up to a known size; beyond it, the join shuffles.
+    """
+    listed = written(drops.distinct(), label)
+    listed = listed.select(*[F.col(c).alias(f"__drop_{c}") for c in listed.columns])
+    same = documents["doc_id"].eqNullSafe(F.col("__drop_id"))
+    if "__drop_text_hash" in listed.columns:
+        same = same & (F.xxhash64(documents["text"]) == F.col("__drop_text_hash"))
+    listed = F.broadcast(listed) if listed.count() <= MAX_BROADCAST_DROPS else listed
+    return documents.join(listed, same, "left_anti")
+
+
 class Bounded(dict):
     """A per-process cache that starts anew when it is full, so that its memory is bounded."""
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from retentia.llm.common import ascii_lower, table, written
+from retentia.llm.common import ascii_lower, table, without, written
 
 WINDOW = 10
 # ASCII separators between words.
@@ -82,15 +82,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     )
 
 
-def remove_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_share: float = 0.0) -> DataFrame:
-    """Rows of `documents` of whose words at most `max_share` are hit; all their columns, row order free."""
-    found = (
-        decontaminate(documents, benchmark, window)
-        .where((F.col("n_hit") > 0) & (F.col("n_hit") > max_share * F.col("n_words")))
-        .select(F.col("doc_id").alias("__hit"))
-        .distinct()
-    )
-    return documents.join(found, documents["doc_id"].eqNullSafe(found["__hit"]), "left_anti")
+def remove_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows of `documents` without any hit; all their columns."""
+    found = hits(documents, item_windows(benchmark, window)).select(F.col("doc_id").alias("id"), "text_hash")
+    return without(documents, found, "op4-hit")
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retentia.llm.common import Bounded, table, written
+from retentia.llm.common import Bounded, table, without, written
 from retentia.llm.pretokens import text_groups
 from retentia.session import cut_lineage
 
@@ -329,8 +329,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, size: int = SH
 
 def deduplicate(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """`documents` with one document of each group, all columns as they are."""
-    gone = near_duplicates(documents, percent, size).where("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return documents.join(gone, documents["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    gone = near_duplicates(documents, percent, size).where("NOT kept").select(F.col("doc_id").alias("id"))
+    return without(documents, gone, "op5-gone")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,7 +193,7 @@ class PieceCoder:
 
 
 def encode_documents(documents: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array<int>), decoded (string), differ (long) of every row."""
+    """doc_id, ids (array<int>), decoded, lossless, differ (texts or words that differed, on a group's first row) of every row."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = shared(PieceCoder, path)
@@ -203,13 +203,17 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
                 ids = coder.encode(texts)
                 names = batch.column("doc_id").slice(first, len(texts))
                 differ = pa.array([coder.differ - before] + [0] * (len(texts) - 1), pa.int64())
+                back = coder.decode(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [names, pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())), pa.array(coder.decode(ids), pa.string()), differ],
-                    ["doc_id", "ids", "decoded", "differ"],
-                )
+                    [
+                        names, pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())), pa.array(back, pa.string()),
+                        pa.array([a == b for a, b in zip(texts, back)], pa.bool_()), differ,
+                    ],
+                    ["doc_id", "ids", "decoded", "lossless", "differ"],
+                )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(coded, "doc_id long, ids array<int>, decoded string, differ long")
+    return rows.mapInArrow(coded, "doc_id long, ids array<int>, decoded string, lossless boolean, differ long")
 
 
 def digest_documents(documents: DataFrame, path: str) -> DataFrame:

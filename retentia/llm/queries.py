@@ -9,7 +9,9 @@ MODULES = [op1_wavelet, op2_language, op3_quality, op4_decontaminate, op5_near_d
 
 def load():
     """(queries, oracles) of all operators."""
-    queries, oracles = {}, {}
+    import corpus_pipeline
+
+    queries, oracles = {"pipeline": corpus_pipeline.run}, {}
     for module in MODULES:
         queries |= module.QUERIES
         oracles |= module.ORACLES
