@@ -104,7 +104,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     digest and size are those of the payload if the record ends where the next magic line begins.
     """
     head = F.substring_index("value", END, 1)
-    length = F.regexp_extract("head", r"(?i)(?:^|\n)Content-Length: *(\d{1,18})\r?(?:\n|$)", 1).cast("long")
+    length = F.regexp_extract("head", r"(?i)(?:^|\n)Content-Length: *(\d{1,18})\r?(?:\n|$)", 1).try_cast("long")
     parsed = (
         chunks(spark, path)
         .withColumn("head", head)
@@ -178,7 +178,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         # Payloads with magic lines inside: their chunks are read again and put together.
         order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
         marked = found.where("offset >= 0").join(records.select("file", "offset", F.lit(True).alias("is_record")), ["file", "offset"], "left")
-        owner = marked.withColumn("owner", F.max(F.when("is_record", F.col("offset"))).over(order)).select("file", "block", "at", "owner")
+        owner = marked.withColumn("owner", F.max(F.when(F.col("is_record"), F.col("offset"))).over(order)).select("file", "block", "at", "owner")
         parts = owner.join(split.select("file", F.col("offset").alias("owner")), ["file", "owner"])
         text = (
             chunks(spark, path).join(parts, ["file", "block", "at"]).groupBy("file", "owner")
@@ -197,7 +197,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(
         kind.alias("type"), _head_field("WARC-Record-ID").alias("record_id"), _head_field("WARC-Refers-To").alias("refers_to"),
         _head_field("WARC-Target-URI").alias("target_uri"), checked.alias("digest"),
-        F.when(is_revisit, _head_field("X-Payload-Length").cast("long")).otherwise(F.col("size")).alias("size"),
+        F.when(is_revisit, _head_field("X-Payload-Length").try_cast("long")).otherwise(F.col("size")).alias("size"),
     )
 
 
@@ -206,7 +206,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_warc(table(spark, sf_dir, "pages"), path)
 
     def page(column):
-        return F.regexp_extract(column, "^<urn:page:(.*)>$", 1).cast("long")
+        return F.regexp_extract(column, "^<urn:page:(.*)>$", 1).try_cast("long")
 
     return read_warc(spark, path).select(
         page("record_id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
