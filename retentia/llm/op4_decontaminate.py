@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from retentia.llm.common import ascii_lower, table, without, written
 
 WINDOW = 10
-# ASCII separators between words.
+# ASCII characters between the words of a lower-cased text, and of one as it stands.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # A window row takes about 300 bytes: beyond this many the set is joined by shuffle instead.
 MAX_BROADCAST_WINDOWS = 200_000
 
@@ -91,8 +92,7 @@ def remove_documents(documents: DataFrame, benchmark: DataFrame, window: int = W
 def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """`documents` with every hit word cut from the text; texts without hits stay as they are.
 
-    A cut text is the kept words and separators in order: words and separators are split into two arrays
-    that alternate, and a hit word goes together with the separator after it.
+    The text is taken apart into words with the separators after them; a hit word goes with its separators.
     """
     found = (
         hits(documents, item_windows(benchmark, window))
@@ -100,10 +100,10 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDO
         .agg(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(at, at + len - 1)")))).alias("__cut"))
         .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__cut")
     )
-    word, gap = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", SEPARATORS
+    word = GAP.replace("[", "[^")
     joined = documents.join(found, documents["doc_id"].eqNullSafe(found["__id"]) & (F.xxhash64(documents["text"]) == found["__hash"]), "left")
-    parts = F.expr(f"regexp_extract_all(text, r'(?:^{gap})|{word}(?:{gap})?', 0)")
-    lead = F.when(documents["text"].rlike(f"^{gap}"), 1).otherwise(0)
+    parts = F.expr(f"regexp_extract_all(text, r'(?:^{GAP})|{word}(?:{GAP})?', 0)")
+    lead = F.when(documents["text"].rlike(f"^{GAP}"), 1).otherwise(0)
     cut = F.array_join(
         F.filter(parts, lambda _, i: ~F.array_contains("__cut", (i + 1 - lead).cast("int"))), ""
     )
