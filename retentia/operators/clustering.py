@@ -46,7 +46,7 @@ def segment(df: DataFrame, columns: Sequence[str], target: str, ks: Sequence[int
     """(elbow table, best k, profile table): per cluster its size, target rate and means."""
     data = standardised(df, columns, [target]).persist()
     try:
-        fits = sweep(fit_width(data, data.count()), ks, n_init, seed)
+        fits = sweep(fit_width(data), ks, n_init, seed)
         best = max(fits, key=lambda k: (fits[k][2], -k))
         spark = df.sparkSession
         elbow = spark.createDataFrame([(k, float(f[1]), float(f[2])) for k, f in sorted(fits.items())], "k int, inertia double, silhouette double")

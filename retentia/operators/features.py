@@ -7,8 +7,9 @@ specs in order.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ class Bins:
 @dataclass(frozen=True)
 class Encoding:
     column: str
-    method: str  # one_hot | binary | label
+    method: str  # one_hot | one_hot_vector | binary | label
     prefix: str | None = None
     drop_first: bool = False
     mapping: dict = field(default_factory=dict)
@@ -116,9 +117,8 @@ def interaction(spec: Interaction):
 
 def add_interactions(df: DataFrame, specs) -> DataFrame:
     for spec in specs:
-        missing = [c for c in spec.columns if c not in df.columns]
-        if missing:
-            raise ValueError(f"{spec.name} needs {missing}; create them in an earlier step")
+        if not _present(df, spec.columns, spec.name):
+            continue
         expression = interaction(spec)
         if expression is None:
             log.warning("interaction %s has unknown kind %r", spec.name, spec.kind)
@@ -144,36 +144,58 @@ def add_bins(df: DataFrame, spec: Bins) -> DataFrame:
     return df.withColumn(spec.new_column, cut(named(spec.column), list(spec.edges), values))
 
 
-# A one-hot encoding makes a column per category, so the number of categories must stay small.
-MAX_CATEGORIES = 1000
+def learn_vocabulary(df: DataFrame, column: str) -> tuple[str, ...]:
+    """The distinct categories in order; one-hot makes a column (or a vector place) of each."""
+    return tuple(r.v for r in df.select(named(column).cast("string").alias("v")).where("v is not null").distinct().orderBy("v").collect())
 
 
-def learn_vocabulary(df: DataFrame, column: str) -> tuple[str, ...]:
-    rows = (
-        df.select(named(column).cast("string").alias("v")).where("v is not null").distinct()
-        .orderBy("v").limit(MAX_CATEGORIES + 1).collect()
+def learn_encodings(df: DataFrame, specs) -> tuple[Encoding, ...]:
+    """The specs with the vocabularies of `df` where they have none yet."""
+    return tuple(
+        replace(e, vocabulary=learn_vocabulary(df, e.column))
+        if e.method in ("one_hot", "one_hot_vector") and e.vocabulary is None and e.column in df.columns
+        else e
+        for e in specs
     )
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return tuple(r.v for r in rows)
+
+
+def one_hot_vector(df: DataFrame, spec: Encoding) -> DataFrame:
+    """The source replaced by one sparse vector, for wide vocabularies; unseen and null give all zeros."""
+    words = list(spec.vocabulary[1:] if spec.drop_first else spec.vocabulary)
+    into = spec.new_column or f"{spec.prefix or spec.column.lower()}_vector"
+    place = StringIndexerModel.from_labels(words, inputCol="__text", outputCol="__place", handleInvalid="keep")
+    # The last place is that of unseen categories and is dropped.
+    placed = place.transform(df.withColumn("__text", named(spec.column).cast("string")))
+    coded = OneHotEncoder(inputCols=["__place"], outputCols=[into], dropLast=True).fit(placed).transform(placed)
+    return coded.drop("__text", "__place", spec.column)
 
 
 def encode(df: DataFrame, specs) -> DataFrame:
-    """One-hot (source dropped, null gives all zeros) and code maps (source kept)."""
-    new, done = {}, []
+    """One-hot (source dropped, null gives all zeros) and code maps (source kept).
+
+    Vocabularies are never learned here, so training and serving rows get the same columns.
+    """
+    new, done, vectors = {}, [], []
     for s in specs:
         if not _present(df, [s.column], f"encoding {s.method}"):
             continue
-        if s.method == "one_hot":
-            words = s.vocabulary or learn_vocabulary(df, s.column)
+        if s.method in ("one_hot", "one_hot_vector"):
+            if s.vocabulary is None:
+                raise ValueError(f"the vocabulary of {s.column} has not been learned; fit the plan first")
+            if s.method == "one_hot_vector":
+                vectors.append(s)
+                continue
             prefix = s.prefix or s.column.lower()
-            new.update({f"{prefix}_{word}": flag(s.column, "==", word) for word in (words[1:] if s.drop_first else words)})
+            new.update({f"{prefix}_{w}": flag(s.column, "==", w) for w in (s.vocabulary[1:] if s.drop_first else s.vocabulary)})
             done.append(s.column)
         elif s.method in ("binary", "label"):
             new[s.new_column or f"{s.column}_encoded"] = map_codes(s.column, s.mapping)
         else:
             log.warning("unknown encoding %r for %s", s.method, s.column)
-    return df.withColumns(new).drop(*done) if new else df
+    out = df.withColumns(new).drop(*done) if new else df
+    for s in vectors:
+        out = one_hot_vector(out, s)
+    return out
 
 
 def sanitise_names(df: DataFrame) -> DataFrame:
@@ -194,15 +216,7 @@ class FeaturePlan:
     keep: tuple[str, ...] = ()
 
     def fit(self, df: DataFrame) -> "FeaturePlan":
-        from dataclasses import replace
-
-        frozen = tuple(
-            replace(e, vocabulary=learn_vocabulary(df, e.column))
-            if e.method == "one_hot" and e.vocabulary is None and e.column in df.columns
-            else e
-            for e in self.encodings
-        )
-        return replace(self, encodings=frozen)
+        return replace(self, encodings=learn_encodings(df, self.encodings))
 
     def transform(self, df: DataFrame) -> DataFrame:
         df = drop_columns(df, self.drop) if self.drop else df

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from retentia.functions.expr import named
 from retentia.operators.reduction import fit_reducer
-from retentia.operators.sampling import class_counts, random_sample, with_class_weight
+from retentia.operators.sampling import random_sample, with_class_weight
 from retentia.operators.smote import smote
 from retentia.operators.stages import DataImputer, RobustScalerTransformer, StandardScalerTransformer
 from retentia.session import fit_width
@@ -165,11 +165,10 @@ def fit_pipeline(train: DataFrame, key: str, target: str, spec: PipelineSpec) ->
     # Iterative fits read the rows many times.
     rows = rows.persist()
     try:
-        counts = class_counts(rows, target)
-        n = sum(counts.values())
+        n = rows.count()
         weighted = with_class_weight(rows, target, WEIGHT, positive)
         estimator = build_estimator(spec.model, spec.params, column, target, n, spec.seed)
-        fitted = estimator.fit(fit_width(weighted, n))
+        fitted = estimator.fit(fit_width(weighted))
     finally:
         rows.unpersist()
     return FittedPipeline(PipelineModel([*prepared.stages, *reducers, fitted]), names, spec)

@@ -203,10 +203,11 @@ def suggest(df: DataFrame, numeric: Sequence[str], discrete: Sequence[str], tole
     nulls = q.select(F.lit("expect_column_values_to_not_be_null").alias("type"), F.col("feature").alias("column"), none_d.alias("min_value"), none_d.alias("max_value"), none_s.alias("value_set"))
     types = dict(df.dtypes)
     sets = None
-    for text in (True, False):
-        cols = [c for c in discrete if (types[c] == "string") == text]
+    whole = ("tinyint", "smallint", "int", "bigint", "boolean")
+    kind_of = {c: "string" if types[c] == "string" else "bigint" if types[c] in whole else "double" for c in discrete}
+    for kind in ("string", "bigint", "double"):
+        cols = [c for c in discrete if kind_of[c] == kind]
         if cols:
-            kind = "string" if text else "bigint"
             cells = F.array(*[F.struct(F.lit(c).alias("column"), named(c).cast(kind).alias("v")) for c in cols])
             # collect_set over already distinct cells: the set itself is the wanted result.
             found = df.select(F.inline(cells)).where("v is not null").distinct().groupBy("column").agg(F.to_json(F.sort_array(F.collect_list("v"))).alias("value_set"))

@@ -164,33 +164,10 @@ def quantiles(
     return quantiles_of(frequencies(long, by), probs, by)
 
 
-# Up to this many rows the built-in exact percentile fits one task's memory with ease.
-ONE_TASK_ROWS = 500_000
-
-
-def quantile_table(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), n_rows: int | None = None
-) -> DataFrame:
-    """Like `quantiles`, but counts the rows first and takes the one-shuffle way when they are few."""
-    if (df.count() if n_rows is None else n_rows) > ONE_TASK_ROWS:
-        return quantiles(df, columns, probs, by)
-    probs = [float(p) for p in probs]
-    long = melt(df, columns, by)
-    for b in by:
-        long = long.where(named(b).isNotNull())
-    q = long.groupBy("feature", *by).agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q"))
-    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("q").alias("quantile"))
-    return q.select("feature", *by, F.inline(pairs).alias("prob", "quantile"))
-
-
-def quantile_map(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], n_rows: int | None = None
-) -> dict[str, dict[float, float]]:
+def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float]]:
     """{column: {prob: value}}; at most columns x probs numbers reach the driver."""
-    out: dict[str, dict[float, float]] = {c: {} for c in columns}
-    for r in quantile_table(df, columns, probs, (), n_rows).collect():
-        out[r["feature"]][r["prob"]] = r["quantile"]
-    return out
+    found = {(r["feature"], r["prob"]): r["quantile"] for r in quantiles(df, columns, probs).collect()}
+    return {c: {p: found[c, p] for p in map(float, probs) if (c, p) in found} for c in columns}
 
 
 def numbered(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), into: str = "rn", bucket: Column | None = None) -> DataFrame:

@@ -22,8 +22,6 @@ from retentia.operators.stages import _Settings
 from retentia.session import fit_width
 
 METHODS = ("none", "rfe", "pca", "kpca", "lda")
-# Landmarks of the kernel map: its matrices are this size squared.
-MAX_LANDMARKS = 512
 
 
 class LinearProjection(_Settings, Transformer):
@@ -141,9 +139,8 @@ def fit_kpca(
     """Kernel PCA by the Nystroem map: exact when the rows are no more than the landmarks.
 
     Landmarks are the first rows in a hash order, the map whitens their kernel matrix, and
-    ordinary PCA runs on the mapped rows.
+    ordinary PCA runs on the mapped rows. The kernel matrix is landmarks squared, on the driver.
     """
-    landmarks = min(landmarks, MAX_LANDMARKS)
     order = F.xxhash64(named(key)) if key else F.xxhash64(vector_to_array(named(col)))
     rows = df.select(vector_to_array(named(col)).alias("x"), order.alias("h")).orderBy("h").limit(landmarks).collect()
     marks = np.unique(np.array([r.x for r in rows]), axis=0)
@@ -162,20 +159,26 @@ def fit_kpca(
 
 
 def fit_rfe(
-    df: DataFrame, col: str, target: str, n: int, estimator: str = "random_forest", seed: int = 42, out: str = "reduced"
+    df: DataFrame, col: str, target: str, n: int, estimator: str = "random_forest", seed: int = 42, out: str = "reduced",
+    max_depth: int = 30, penalty: float = 1.0,
 ) -> tuple[PipelineModel, list[int]]:
-    """Drop the weakest feature and refit until n are left; returns the kept positions too."""
+    """Drop the weakest feature and refit until n are left; returns the kept positions too.
+
+    Trees grow to Spark's deepest level unless `max_depth` says less; logistic regression has the L2 `penalty`
+    (1 / C) on unscaled features.
+    """
     left = list(range(_width(df, col)))
     data = df.select(named(col).alias("_all"), named(target).cast("double").alias("_y")).persist()
-    narrow = fit_width(data, data.count())
+    narrow = fit_width(data)
     try:
+        rows = max(1, data.count())
         while len(left) > n:
             cut = VectorSlicer(inputCol="_all", outputCol="_x", indices=left).transform(narrow)
             if estimator == "random_forest":
-                model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=50, maxDepth=10, seed=seed).fit(cut)
+                model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=50, maxDepth=max_depth, seed=seed).fit(cut)
                 weight = model.featureImportances.toArray()
             else:
-                model = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=100).fit(cut)
+                model = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=1000, regParam=penalty / rows, standardization=False).fit(cut)
                 weight = np.abs(model.coefficients.toArray())
             left.pop(int(np.argmin(weight)))
     finally:

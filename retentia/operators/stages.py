@@ -6,19 +6,17 @@ import logging
 
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.functions.expr import map_codes, named
+from retentia.functions.expr import named
 from retentia.operators.features import drop_columns, select_features
-from retentia.operators.ranks import ONE_TASK_ROWS, quantile_map, quantile_table, quantiles
+from retentia.operators.ranks import quantile_map, quantiles
+from retentia.session import cut_lineage
 
 log = logging.getLogger(__name__)
 
-# Learned groups kept as literals; more groups than this go through a join instead.
-MAX_LITERAL_GROUPS = 1000
-
 
 class _Settings(Params, DefaultParamsReadable, DefaultParamsWritable):
     """One JSON-able value per stage: its settings, or what it has learned."""
@@ -65,15 +63,6 @@ def modes(df: DataFrame, columns) -> dict:
     return out
 
 
-def _small_statistics(df: DataFrame, median_of, mode_of) -> tuple[dict, dict]:
-    """Medians and modes of a table that fits one task, from one aggregate."""
-    types = dict(df.dtypes)
-    aggs = [F.percentile(F.nanvl(named(c).cast("double"), F.lit(None)), 0.5).alias(f"q{i}") for i, c in enumerate(median_of)]
-    aggs += [F.mode(named(c) if types[c] == "string" else named(c).cast("double"), True).alias(f"m{i}") for i, c in enumerate(mode_of)]
-    row = df.agg(*aggs).first() if aggs else {}
-    return {c: {0.5: row[f"q{i}"]} for i, c in enumerate(median_of)}, {c: row[f"m{i}"] for i, c in enumerate(mode_of)}
-
-
 def group_medians(df: DataFrame, target: str, group: str) -> DataFrame:
     """(group, median) of a column, nulls left out."""
     q = quantiles(df, [target], [0.5], [group])
@@ -109,20 +98,14 @@ class DataImputer(_Settings, Estimator):
                 specs.append({**spec, "by": spec.get("group_column", spec.get("group_by"))})
         median_of = [s["column"] for s in specs if s["strategy"].startswith("median")]
         mode_of = [s["column"] for s in specs if s["strategy"] == "mode"]
-        n = df.count()
-        if n <= ONE_TASK_ROWS:
-            medians, most = _small_statistics(df, median_of, mode_of)
-        else:
-            medians = quantile_map(df, median_of, [0.5], n) if median_of else {}
-            most = modes(df, mode_of) if mode_of else {}
-        grouped = {}
-        for by in {s["by"] for s in specs if s["strategy"] == "median_by_group" and s["by"] in df.columns}:
-            targets = [s["column"] for s in specs if s["strategy"] == "median_by_group" and s["by"] == by]
-            rows = quantile_table(df, targets, [0.5], [by], n).limit(MAX_LITERAL_GROUPS * len(targets) + 1).collect()
-            if len(rows) > MAX_LITERAL_GROUPS * len(targets):
-                raise ValueError(f"{by} has too many groups; use fill_group_median")
-            for r in rows:
-                grouped.setdefault((by, r["feature"]), []).append([r[by], r["quantile"]])
+        medians = quantile_map(df, median_of, [0.5]) if median_of else {}
+        most = modes(df, mode_of) if mode_of else {}
+        tables = {}
+        for by in sorted({s["by"] for s in specs if s["strategy"] == "median_by_group" and s["by"] in df.columns}):
+            targets = sorted({s["column"] for s in specs if s["strategy"] == "median_by_group" and s["by"] == by})
+            rows = quantiles(df, targets, [0.5], [by])
+            wide = rows.groupBy(named(by)).agg(*[F.max(F.when(F.col("feature") == t, F.col("quantile"))).alias(t) for t in targets])
+            tables[by] = cut_lineage(wide)
         learned = []
         for s in specs:
             column, fallback = s["column"], s.get("fallback_value")
@@ -134,14 +117,56 @@ class DataImputer(_Settings, Estimator):
                 fill = medians[column].get(0.5)
             entry = {"column": column, "fill": fallback if fill is None else fill}
             if s["strategy"] == "median_by_group" and s["by"] in df.columns:
-                entry["by"], entry["groups"] = s["by"], grouped.get((s["by"], column), [])
+                entry["by"] = s["by"]
             learned.append(entry)
-        return DataImputerModel(learned)
+        return DataImputerModel(learned, tables)
+
+
+class _ImputerWriter(DefaultParamsWriter):
+    def saveImpl(self, path):  # noqa: N802 (name given by Spark ML)
+        super().saveImpl(path)
+        for i, by in enumerate(self.instance.groupings()):
+            self.instance.tables[by].write.parquet(f"{path}/groups/{i}")
+
+
+class _ImputerReader(DefaultParamsReader):
+    def load(self, path):
+        model = super().load(path)
+        spark = SparkSession.active()
+        model.tables = {by: spark.read.parquet(f"{path}/groups/{i}") for i, by in enumerate(model.groupings())}
+        return model
 
 
 class DataImputerModel(_Settings, Model):
+    """Fill values as settings; medians of groups as one table per grouping column, of any size."""
+
+    def __init__(self, settings=None, tables=None):
+        super().__init__(settings)
+        self.tables = tables or {}
+
+    def groupings(self) -> list[str]:
+        return sorted({e["by"] for e in self.value if "by" in e})
+
+    def write(self):
+        return _ImputerWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _ImputerReader(cls)
+
     def _transform(self, df):
+        columns = df.columns
+        for i, by in enumerate(self.groupings()):
+            if by in columns:
+                table = self.tables[by]
+                renamed = table.toDF(*[f"__group{i}" if c == by else f"__median{i}_{c}" for c in table.columns])
+                df = df.join(renamed, named(by) == F.col(f"__group{i}"), "left")
+        new = self._filled(df)
+        return df.select([new.get(c, named(c)).alias(c) for c in columns]) if new else df
+
+    def _filled(self, df):
         types = dict(df.dtypes)
+        groupings = self.groupings()
         new = {}
         for e in self.value:
             if e["column"] not in df.columns:
@@ -150,12 +175,12 @@ class DataImputerModel(_Settings, Model):
             # Fractional medians must not be cut to the integer type of the column.
             x = named(e["column"]) if text else named(e["column"]).cast("double")
             options = [x if text else F.nanvl(x, F.lit(None))]
-            if e.get("groups") and e["by"] in df.columns:
-                options.append(map_codes(e["by"], {g: m for g, m in e["groups"]}))
+            if "by" in e and e["by"] in df.columns:
+                options.append(named(f"__median{groupings.index(e['by'])}_{e['column']}"))
             if e["fill"] is not None:
                 options.append(F.lit(e["fill"]) if text else F.lit(float(e["fill"])))
             new[e["column"]] = F.coalesce(*options)
-        return df.withColumns(new) if new else df
+        return new
 
 
 class GroupMedianImputer(_Settings, Estimator):

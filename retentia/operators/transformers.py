@@ -52,7 +52,7 @@ def _encodings(settings):
     return [
         f.Encoding(
             s["column"], s["method"], s.get("prefix"), s.get("drop_first", False), s.get("mapping") or {},
-            s.get("new_column"), tuple(s["vocabulary"]) if s.get("vocabulary") else None,
+            s.get("new_column"), tuple(s["vocabulary"]) if s.get("vocabulary") is not None else None,
         )
         for s in settings
     ]
@@ -67,7 +67,7 @@ class CategoricalEncoder(_Settings, Estimator):
     def _fit(self, df):
         learned = []
         for s in self.value:
-            if s["method"] == "one_hot" and s["column"] in df.columns:
+            if s["method"] in ("one_hot", "one_hot_vector") and s["column"] in df.columns:
                 s = {**s, "vocabulary": list(f.learn_vocabulary(df, s["column"]))}
             learned.append(s)
         return CategoricalEncoderModel(learned)

@@ -52,7 +52,7 @@ def cross_validate(
     """(fold, five metrics). Folds fit side by side; their scores are evaluated in one job."""
     cached = stratified_folds(df, key, target, k, seed, "fold").persist()
     try:
-        folds = fit_width(cached, cached.count())
+        folds = fit_width(cached)
 
         def one(i):
             return fit_pipeline(folds.where(F.col("fold") != i), key, target, spec).score(folds.where(F.col("fold") == i))
@@ -78,7 +78,7 @@ def holdout_evaluation(
 ) -> tuple[FittedPipeline, DataFrame, DataFrame]:
     """(fitted pipeline, scored holdout, one row of metrics)."""
     split = stratified_split(df, key, target, test_size, seed).persist()
-    split = fit_width(split, split.count())
+    split = fit_width(split)
     fitted = fit_pipeline(split.where("split = 'train'"), key, target, spec)
     scored = fitted.score(split.where("split = 'holdout'"))
     return fitted, scored, classification_metrics(scored, target, "p", threshold)

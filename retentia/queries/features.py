@@ -87,7 +87,8 @@ def _(spark, sf):
 @query("one_hot", f"SELECT CustomerId, {ONE_HOT_SQL} FROM churn_base")
 def _(spark, sf):
     spec = f.Encoding("Geography", "one_hot", "geo")
-    return f.encode(churn_base(spark, sf).select("CustomerId", "Geography"), [spec])
+    rows = churn_base(spark, sf).select("CustomerId", "Geography")
+    return f.encode(rows, f.learn_encodings(rows, [spec]))
 
 
 @query(
@@ -99,7 +100,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     spec = f.Encoding("CardType", "one_hot", "card", drop_first=True)
-    return f.encode(churn_base(spark, sf).select("CustomerId", "CardType"), [spec])
+    rows = churn_base(spark, sf).select("CustomerId", "CardType")
+    return f.encode(rows, f.learn_encodings(rows, [spec]))
 
 
 @query(

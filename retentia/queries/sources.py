@@ -6,8 +6,8 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from retentia.operators import metrics as m
 from retentia.operators.quality import run_suite
 from retentia.operators.ranks import quantile_map
-from retentia.plans.churn_base import COLUMNS, KEY, churn_base, table
-from retentia.plans.preprocessing import BASE_PLAN, RAW_COLUMNS
+from retentia.plans.churn_base import KEY, churn_base, table
+from retentia.plans.preprocessing import BASE_PLAN
 from retentia.plans.quality_suites import BASE_SUITE
 from retentia.queries.profiling import rounded, union
 from retentia.queries.quality import ROW_RULES, broken_sql
@@ -51,13 +51,18 @@ def _(spark, sf):
     return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.lit(3).alias("runs"))
 
 
+# Columns a customer file must have, two of which the given one lacks.
+CUSTOMER_CONTRACT = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "c_phone", "c_address"]
+
+
 @query(
     "schema_contract",
-    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', {str(c in COLUMNS).lower()})" for c in RAW_COLUMNS) + ") t(required, present)",
+    "SELECT required, required IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'customer') AS present FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in CUSTOMER_CONTRACT) + ") t(required)",
     on_base=False,
 )
 def _(spark, sf):
-    return ingest.schema_contract(churn_base(spark, sf), RAW_COLUMNS)
+    return ingest.schema_contract(spark.read.parquet(f"{sf.rstrip('/')}/customer.parquet"), CUSTOMER_CONTRACT)
 
 
 @query(
@@ -81,12 +86,14 @@ def _(spark, sf):
 
 @query(
     "schema_listing",
-    """SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (2, 'o_orderstatus', 'string'), (3, 'o_totalprice', 'double'),
-    (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string')) t(position, name, type)""",
+    """SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name,
+      CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+        WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS type
+    FROM information_schema.columns WHERE table_name = 'orders'""",
     on_base=False,
 )
 def _(spark, sf):
-    return tables.schema_listing(table(spark, sf, "orders"))
+    return tables.file_schema(spark, f"{sf.rstrip('/')}/orders.parquet")
 
 
 @query("feature_sink", "SELECT count(*) AS n_rows, 24 AS n_columns, true AS schema_ok FROM churn_base")

@@ -7,7 +7,7 @@ from retentia.operators import drift as d
 from retentia.operators import hypothesis as h
 from retentia.operators.profile import target_rate_by_group
 from retentia.operators.ranks import average_rank, frequencies, melt, ranked
-from retentia.plans.churn_base import BINARY, CATEGORICAL, KEY, NUMERIC, TARGET, churn_base, table
+from retentia.plans.churn_base import BINARY, CATEGORICAL, DISCRETE, KEY, NUMERIC, TARGET, churn_base, table
 from retentia.queries.profiling import rounded, union
 from retentia.queries.registry import query
 
@@ -86,17 +86,21 @@ def _(spark, sf):
     return r.orderBy(F.abs("r").desc(), "feature").limit(5)
 
 
+# Features whose values are few enough for a rate each; a suspect outside them comes without rates.
+SUSPECT_GROUPS = [c for c in FEATURES if c in BINARY or c in DISCRETE]
+
+
 @query(
     "leakage_screen",
-    f"""x AS ({union(f"SELECT '{c}' AS feature, round(corr({c}, Exited), 6) AS r FROM churn_base" for c in FEATURES)})
-    SELECT x.*, CAST(b.Complain AS VARCHAR) AS "value", round(avg(b.Exited) * 100, 6) AS rate_pct
-    FROM x JOIN churn_base b ON x.feature = 'Complain' WHERE abs(r) > 0.5 GROUP BY ALL""",
+    f"""x AS ({union(f"SELECT '{c}' AS feature, round(corr({c}, Exited), 6) AS r FROM churn_base" for c in FEATURES)}),
+    y AS ({union(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS v, round(avg(Exited) * 100, 6) AS rate_pct FROM churn_base WHERE {c} IS NOT NULL GROUP BY 2" for c in SUSPECT_GROUPS)})
+    SELECT x.feature, x.r, y.v AS "value", y.rate_pct FROM x LEFT JOIN y ON y.feature = x.feature WHERE abs(r) > 0.5""",
 )
 def _(spark, sf):
     b = churn_base(spark, sf)
     suspects = a.leakage_screen(b, FEATURES, TARGET)
-    rates = target_rate_by_group(b, ["Complain"], TARGET).withColumnRenamed("column", "feature")
-    return rounded(suspects.join(rates, "feature").select("feature", "r", "value", "rate_pct"))
+    rates = target_rate_by_group(b, SUSPECT_GROUPS, TARGET).withColumnRenamed("column", "feature")
+    return rounded(suspects.join(rates, "feature", "left").select("feature", "r", "value", "rate_pct"))
 
 
 def chi_sql(x, y):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql.functions import broadcast
 
 
 def local_session(app: str = "retentia", cpus: str = "8", memory: str = "8g") -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(app: str = "retentia", cpus: str = "8", memory: str = "8g") ->
         .config("spark.sql.shuffle.partitions", str(cpus if str(cpus).isdigit() else 8))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config(FIT_TASKS, "1")
         # Call sites of columns are only for error messages, and cost most of a plan's build time.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -55,13 +57,24 @@ def cut_lineage(df):
 
 def bucket_count(spark: SparkSession) -> int:
     """Buckets per ordered key for prefix sums; follows the session's shuffle width."""
-    return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024))
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-# Rows worth a task of their own in an iterative fit; fewer make its overhead the whole cost.
-ROWS_PER_TASK = 100_000
+# Setting that narrows the input of iterative fits; a session without it keeps the partitions.
+FIT_TASKS = "spark.retentia.fitTasks"
 
 
-def fit_width(df, n_rows: int):
-    """Narrow small inputs of iterative fits to few tasks; large ones keep their partitions."""
-    return df.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+def fit_width(df):
+    """Input of an iterative fit, in as many tasks as the session says and never by its size."""
+    tasks = df.sparkSession.conf.get(FIT_TASKS, None)
+    return df.coalesce(int(tasks)) if tasks else df
+
+
+# Rows up to which a lookup table is broadcast; a larger one is joined by shuffle, with the same result.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def lookup(df):
+    """A small table, materialised and counted, with a broadcast hint if the count allows it."""
+    table = cut_lineage(df)
+    return broadcast(table) if table.count() <= MAX_BROADCAST_ROWS else table

@@ -47,7 +47,8 @@ def read_csv(spark: SparkSession, raw_dir: str, schema: StructType | str | None
     if not files:
         raise FileNotFoundError(f"no CSV files in {raw_dir}")
     if schema is None:
-        schema = spark.read.options(**CSV_OPTIONS, inferSchema="true").csv(files[0]).schema
+        # Types that hold for all files, whichever comes first.
+        schema = spark.read.options(**CSV_OPTIONS, inferSchema="true").csv(files).schema
     return spark.read.options(**CSV_OPTIONS, enforceSchema="false", mode="FAILFAST").schema(schema).csv(files)
 
 

@@ -14,6 +14,11 @@ def schema_listing(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, name string, type string")
 
 
+def file_schema(spark: SparkSession, path: str) -> DataFrame:
+    """(position, name, type) as the Parquet files at `path` say."""
+    return schema_listing(spark.read.parquet(path))
+
+
 def write_features(df: DataFrame, path: str, compression: str = "snappy") -> dict:
     """Write a feature table, read it back, and compare row count and schema."""
     df.write.mode("overwrite").option("compression", compression).parquet(path)

@@ -81,7 +81,7 @@ def test_flags(spark):
 
 def test_one_hot(spark):
     df = spark.createDataFrame([("France",), ("Germany",), ("Spain",), ("France",), (None,)], "Geography string")
-    out = f.encode(df, [f.Encoding("Geography", "one_hot", "geo")])
+    out = f.encode(df, f.learn_encodings(df, [f.Encoding("Geography", "one_hot", "geo")]))
     assert out.columns == ["geo_France", "geo_Germany", "geo_Spain"]
     assert column(out, "geo_France") == [1, 0, 0, 1, 0]
 
@@ -110,10 +110,44 @@ def test_ratio_zero_denominator(spark):
     assert column(f.add_ratios(df, [f.Ratio("r", "a", "b", 1)]), "r") == [2.0, None, None]
 
 
-def test_interaction_needs_its_columns(spark):
+def test_interaction_skips_missing_columns(spark):
     df = spark.createDataFrame([(1,)], "Age int")
+    assert f.add_interactions(df, [f.Interaction("x", "product_complement", ("Age", "Missing"))]).columns == ["Age"]
+
+
+def test_one_hot_of_many_categories(spark):
+    df = spark.range(5000).select(F.format_string("c%04d", "id").alias("g"), "id")
+    spec = f.learn_encodings(df, [f.Encoding("g", "one_hot_vector", "g")])
+    out = f.encode(df.union(spark.createDataFrame([(None, -1), ("new", -2)], "g string, id long")), spec)
+    rows = {r["id"]: r["g_vector"] for r in out.where("id < 0 OR id IN (0, 7, 4999)").collect()}
+    assert out.columns == ["id", "g_vector"] and all(v.size == 5000 for v in rows.values())
+    assert {i: v.indices.tolist() for i, v in rows.items()} == {-1: [], -2: [], 0: [0], 7: [7], 4999: [4999]}
     with pytest.raises(ValueError):
-        f.add_interactions(df, [f.Interaction("x", "product_complement", ("Age", "Missing"))])
+        f.encode(df, [f.Encoding("g", "one_hot", "g")])
+
+
+def test_group_medians_of_many_groups(spark, tmp_path):
+    from retentia.operators.stages import DataImputer, DataImputerModel
+
+    df = spark.range(20_000).select((F.col("id") % 5000).alias("g"), F.when(F.col("id") < 15_000, F.col("id").cast("double")).alias("x"))
+    model = DataImputer([{"column": "x", "strategy": "median_by_group", "group_column": "g"}]).fit(df)
+    model.write().save(str(tmp_path / "imputer"))
+    for m in (model, DataImputerModel.load(str(tmp_path / "imputer"))):
+        out = m.transform(df.union(spark.createDataFrame([(7777, None), (None, None)], "g long, x double")))
+        assert out.columns == ["g", "x"]
+        assert out.where("g < 5000 AND x != g + 5000 AND (x - g) % 5000 != 0").count() == 0 and out.where("x IS NULL").count() == 0
+        assert {r["x"] for r in out.where("g = 3").collect()} == {3.0, 5003.0, 10003.0}
+        assert {r["x"] for r in out.where("g = 7777 OR g IS NULL").collect()} == {7499.5}
+
+
+def test_splits_of_many_classes(spark):
+    from retentia.operators import sampling
+
+    df = spark.range(9000).select("id", (F.col("id") % 3000).alias("y"))
+    split = sampling.stratified_split(df, "id", "y", 0.2)
+    assert split.where("split = 'holdout'").count() == 1800
+    folds = sampling.stratified_folds(df, "id", "y", 3)
+    assert folds.groupBy("y").agg(F.countDistinct("fold").alias("n")).where("n != 3").count() == 0
 
 
 def bank_rows(spark):
