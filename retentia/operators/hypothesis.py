@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.expr import effect_label, named
-from retentia.functions.pvalues import chi2_p, f_p, ks_p, normal_cdf_col, normal_p, t_p, tukey_p
+from retentia.functions.pvalues import chi2_p, f_p, ks_p, normal_cdf_column, normal_p, t_p, tukey_p
 from retentia.operators.ranks import average_rank, frequencies, melt, quantiles_of, ranked
 
 
@@ -203,7 +203,7 @@ def ks_normal(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     # One row per column on the broadcast side.
     r = ranked(frequencies(long)).join(F.broadcast(shape), "feature")
     z = F.when(F.col("s") > 0, (F.col("value") - F.col("m")) / F.col("s")).otherwise(F.col("value"))
-    r = r.withColumn("c", normal_cdf_col(z))
+    r = r.withColumn("c", normal_cdf_column(z))
     n = F.col("n_total")
     d = F.greatest((F.col("n_before") + F.col("n_tie")) / n - F.col("c"), F.col("c") - F.col("n_before") / n)
     out = r.groupBy("feature").agg(F.max("n_total").alias("n"), F.max(d).alias("d"))

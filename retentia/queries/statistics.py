@@ -9,7 +9,48 @@ from retentia.operators.profile import target_rate_by_group
 from retentia.operators.ranks import average_rank, frequencies, melt, ranked
 from retentia.plans.churn_base import BINARY, CATEGORICAL, DISCRETE, KEY, NUMERIC, TARGET, churn_base, table
 from retentia.queries.profiling import rounded, union
-from retentia.queries.registry import query
+from retentia.queries.registry import ORACLES, QUERIES, query
+
+NODES = 4000
+
+
+def beta_sql(a: str, b: str, x: str) -> str:
+    """Regularised incomplete beta by Simpson's rule over the angle whose squared sine is the variable."""
+    angle = f"(i * asin(sqrt({x})) / {NODES})"
+    weight = f"(CASE WHEN i = 0 OR i = {NODES} THEN 1 ELSE 2 + 2 * (i % 2) END)"
+    logs = f"(2 * ({a}) - 1) * ln(greatest(sin({angle}), 1e-300)) + (2 * ({b}) - 1) * ln(greatest(cos({angle}), 1e-300))"
+    term = f"{weight} * exp({logs} + lgamma(({a}) + ({b})) - lgamma({a}) - lgamma({b}))"
+    return f"""CASE WHEN {x} >= 1 THEN 1.0 WHEN {x} <= 0 THEN 0.0
+      ELSE 2 * asin(sqrt({x})) / {NODES} / 3 * list_sum(list_transform(range(0, {NODES} + 1), lambda i: {term})) END"""
+
+
+def t_sql(t: str, dof: str) -> str:
+    return beta_sql(f"({dof}) / 2.0", "0.5", f"(({dof}) / (({dof}) + ({t}) * ({t})))")
+
+
+def f_sql(f: str, d1: str, d2: str) -> str:
+    return f"CASE WHEN {f} <= 0 THEN 1.0 ELSE {beta_sql(f'({d2}) / 2.0', f'({d1}) / 2.0', f'(({d2}) / (({d2}) + ({d1}) * ({f})))')} END"
+
+
+def chi2_sql(x: str, dof: str) -> str:
+    """One minus the series of the lower incomplete gamma function."""
+    term = f"exp(-({x}) / 2 + (({dof}) / 2.0 + i) * ln(({x}) / 2) - lgamma(({dof}) / 2.0 + i + 1))"
+    return f"CASE WHEN {x} <= 0 THEN 1.0 WHEN {x} > 1400 THEN 0.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, {NODES}), lambda i: {term}))) END"
+
+
+def normal_sql(z: str) -> str:
+    """Two-sided normal tail, as the chi-square tail of the square."""
+    return chi2_sql(f"({z}) * ({z})", "1")
+
+
+def p_query(name: str, source: str, test: str, keys: list[str], sql: str):
+    """Register `name`: p of the (rounded) table of query `source`, under SQL that finds the tail another way."""
+    text = f"SELECT {', '.join(f'"{k}"' for k in keys)}, round(p, 6) AS p_value, p < 0.05 AS significant FROM (SELECT *, {sql} AS p FROM ({ORACLES[source]}) s) u"
+
+    @query(name, text, on_base=False)
+    def _(spark, sf):
+        return rounded(h.with_p(QUERIES[source](spark, sf), test).select(*keys, "p_value", "significant"))
+
 
 ALL = NUMERIC + BINARY
 FEATURES = [c for c in ALL if c != TARGET]
@@ -70,9 +111,17 @@ def _(spark, sf):
     return rounded(a.target_correlation(churn_base(spark, sf), FEATURES, TARGET))
 
 
-@query("target_correlation_p")
+RHO_T = "spearman_r * sqrt((n - 2) / (1 - spearman_r * spearman_r))"
+
+
+@query(
+    "target_correlation_p",
+    f"""SELECT feature, round(p, 6) AS pearson_p, round(ps, 6) AS spearman_p, p < 0.05 AS significant
+    FROM (SELECT *, {t_sql('t', 'n - 2.0')} AS p, {t_sql(f'({RHO_T})', 'n - 2.0')} AS ps FROM ({ORACLES['target_correlation']}) s) u""",
+    on_base=False,
+)
 def _(spark, sf):
-    return a.with_correlation_p(a.target_correlation(churn_base(spark, sf), FEATURES, TARGET))
+    return rounded(a.with_correlation_p(QUERIES["target_correlation"](spark, sf)).select("feature", "pearson_p", "spearman_p", "significant"))
 
 
 @query(
@@ -129,9 +178,14 @@ def _(spark, sf):
     return rounded(a.chi_square(churn_base(spark, sf), CHI_ALL))
 
 
-@query("chi_square_p")
+@query(
+    "chi_square_p",
+    f"""SELECT "left", "right", round(p, 6) AS p_value, p < 0.05 AS significant
+    FROM (SELECT *, CASE WHEN dof > 0 THEN {chi2_sql('chi2', 'dof')} ELSE 1.0 END AS p FROM ({ORACLES['chi_square_all_pairs']}) s) u""",
+    on_base=False,
+)
 def _(spark, sf):
-    return a.with_chi_square_p(a.chi_square(churn_base(spark, sf), CHI_ALL))
+    return rounded(a.with_chi_square_p(QUERIES["chi_square_all_pairs"](spark, sf)).select("left", "right", "p_value", "significant"))
 
 
 @query(
@@ -149,9 +203,7 @@ def _(spark, sf):
     return rounded(h.mann_whitney(churn_base(spark, sf), NUMERIC, TARGET), 6, u=4)
 
 
-@query("mann_whitney_p")
-def _(spark, sf):
-    return h.with_p(h.mann_whitney(churn_base(spark, sf), NUMERIC, TARGET), "mann_whitney")
+p_query("mann_whitney_p", "mann_whitney", "mann_whitney", ["feature"], normal_sql("z"))
 
 
 @query(
@@ -172,9 +224,7 @@ def _(spark, sf):
     return rounded(h.group_comparison(churn_base(spark, sf), NUMERIC, TARGET), 4, welch_t=6, cohens_d=6)
 
 
-@query("welch_p")
-def _(spark, sf):
-    return h.with_p(h.group_comparison(churn_base(spark, sf), NUMERIC, TARGET), "welch")
+p_query("welch_p", "group_comparison", "welch", ["feature"], t_sql("welch_t", "welch_df"))
 
 
 def anova_parts_sql(c, g):
@@ -197,9 +247,7 @@ def _(spark, sf):
     return rounded(out)
 
 
-@query("anova_p")
-def _(spark, sf):
-    return h.with_p(h.anova(churn_base(spark, sf), NUMERIC, GROUPINGS).where("feature <> grouping"), "anova")
+p_query("anova_p", "anova", "anova", ["feature", "grouping"], f_sql("f", "(groups - 1.0)", "(n - groups + 0.0)"))
 
 
 @query(
@@ -218,9 +266,7 @@ def _(spark, sf):
     return rounded(h.kruskal(churn_base(spark, sf), NUMERIC, GROUPINGS).where("feature <> grouping"))
 
 
-@query("kruskal_wallis_p")
-def _(spark, sf):
-    return h.with_p(h.kruskal(churn_base(spark, sf), NUMERIC, GROUPINGS), "kruskal")
+p_query("kruskal_wallis_p", "kruskal_wallis", "kruskal", ["feature", "grouping"], chi2_sql("h", "(groups - 1)"))
 
 
 TUKEY = [("Balance", "Geography"), ("EstimatedSalary", "NumOfProducts"), ("CreditScore", "CardType")]
@@ -264,9 +310,7 @@ def _(spark, sf):
     return rounded(h.levene(churn_base(spark, sf), NUMERIC, TARGET))
 
 
-@query("levene_p")
-def _(spark, sf):
-    return h.with_p(h.levene(churn_base(spark, sf), NUMERIC, TARGET), "levene")
+p_query("levene_p", "levene", "levene", ["feature"], f_sql("w", "1.0", "(n - 2.0)"))
 
 
 ETA = ["Geography", "Gender", "CardType", "NumOfProducts"]
@@ -310,9 +354,26 @@ def _(spark, sf):
     return rounded(h.normality(churn_base(spark, sf), NUMERIC), 6, k2=4)
 
 
-@query("ks_normal")
+# The normal distribution function from the series of its lower tail, summed in SQL.
+NORMAL_SERIES = """CASE WHEN abs(z) > 8 THEN (CASE WHEN z > 0 THEN 1.0 ELSE 0.0 END)
+  ELSE 0.5 + z * list_sum(list_transform(range(0, 120), lambda i: exp(-z * z / 2 + i * ln(greatest(z * z, 1e-300)) - i * ln(2.0) - lgamma(i + 1.5)))) / 2 / sqrt(2.0) END"""
+KOLMOGOROV = "CASE WHEN x < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 101), lambda k: (2 * (k % 2) - 1) * exp(-2.0 * k * k * x * x))))) END"
+
+
+@query(
+    "ks_normal",
+    "k AS ("
+    + union(
+        f"""SELECT '{c}' AS feature, CAST(any_value(n) AS BIGINT) AS n, max(greatest(upto / n - f, f - (upto - tie) / n)) AS d FROM (
+          SELECT *, {NORMAL_SERIES} AS f FROM (
+            SELECT DISTINCT (v - m) / s AS z, CAST(n AS DOUBLE) AS n, CAST(count(*) OVER (ORDER BY v) AS DOUBLE) AS upto, CAST(count(*) OVER (PARTITION BY v) AS DOUBLE) AS tie
+            FROM (SELECT {c} AS v, avg({c}) OVER () AS m, stddev_samp({c}) OVER () AS s, count(*) OVER () AS n FROM churn_base WHERE {c} IS NOT NULL)))"""
+        for c in NUMERIC
+    )
+    + f") SELECT feature, n, round(d, 6) AS d, round({KOLMOGOROV.replace('x', '(d * sqrt(n))').replace('e(d * sqrt(n))p', 'exp')}, 6) AS p_value FROM k",
+)
 def _(spark, sf):
-    return h.ks_normal(churn_base(spark, sf), NUMERIC)
+    return rounded(h.ks_normal(churn_base(spark, sf), NUMERIC))
 
 
 KS_SQL = """SELECT '{c}' AS feature, CAST(any_value(na) AS BIGINT) AS n_reference, CAST(any_value(nb) AS BIGINT) AS n_production,
