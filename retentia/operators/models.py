@@ -80,7 +80,7 @@ def build_estimator(kind: str, params: dict, features: str, label: str, rows: in
             raise ValueError(f"penalty must be l1 or l2, not {penalty!r}")
         made = LogisticRegression(
             regParam=1.0 / (p.pop("C") * rows), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-            maxIter=p.pop("max_iter"), standardization=False, tol=1e-5, **common,
+            maxIter=p.pop("max_iter"), standardization=False, tol=p.pop("tol", 1e-5), **common,
         )
     elif kind == "random_forest":
         made = RandomForestClassifier(

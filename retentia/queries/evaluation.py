@@ -6,10 +6,13 @@ from retentia.functions.expr import AUC_DROP_ALERT, RECALL_DROP_ALERT
 from retentia.operators import drift as d
 from retentia.operators import metrics as m
 from retentia.operators import runs as r
+from retentia.operators.models import PipelineSpec, fit_pipeline, save_pipeline
 from retentia.plans.churn_base import KEY, NUMERIC, TARGET, churn_base
+from retentia.plans.scoring import Predictor
 from retentia.queries.profiling import rounded, union
 from retentia.queries.registry import query
 from retentia.queries.statistics import KS_SQL, STATUS, ks_p_sql, psi_sql
+from retentia.session import scratch
 
 SCORED_SQL = """scored AS (SELECT *, round(((CustomerId * 7919) % 10007) / 10007.0, 2) AS p FROM churn_base)"""
 
@@ -140,19 +143,42 @@ def raw_scores(spark, sf):
     return churn_base(spark, sf).withColumn("p", ((F.col(KEY) * 7919) % 10007) / 10007.0)
 
 
-@query("score_batch", SCORE_SQL + " SELECT CustomerId, churn_probability, churn_flag, risk_level FROM out")
+# A logistic model of two flags and their product has a coefficient per combination of flags, so its fitted
+# probability is the class-weighted churn rate of the combination, which SQL finds without any fit.
+MODEL_FLAGS = ("IsActiveMember", "CardHeld", "ActiveCard")
+MODEL_SQL = """flagged AS (SELECT *, coalesce(HasCrCard, 0) AS CardHeld FROM churn_base),
+c AS (SELECT count(*) FILTER (Exited = 1) AS c1, count(*) FILTER (Exited = 0) AS c0 FROM churn_base),
+g AS (SELECT IsActiveMember, CardHeld, count(*) FILTER (Exited = 1) / any_value(c1) AS w1, count(*) FILTER (Exited = 0) / any_value(c0) AS w0
+  FROM flagged, c GROUP BY 1, 2),
+out AS (SELECT flagged.*, w1 / (w1 + w0) AS p FROM flagged JOIN g USING (IsActiveMember, CardHeld))"""
+PREDICTED_SQL = """round_even(p, 4) AS churn_probability, CAST(p >= {at} AS INT) AS churn_flag,
+  CASE WHEN p <= 0.30 THEN 'low' WHEN p <= 0.55 THEN 'medium' ELSE 'high' END AS risk_level"""
+
+
+def with_flags(df):
+    held = F.coalesce("HasCrCard", F.lit(0))
+    return df.withColumns({"CardHeld": held, "ActiveCard": F.col("IsActiveMember") * held})
+
+
+def saved_predictor(spark, sf):
+    """Fit on the whole snapshot, save, and load again as a predictor."""
+    rows = with_flags(churn_base(spark, sf))
+    spec = PipelineSpec("logistic_regression", MODEL_FLAGS, {"C": 1e9, "tol": 1e-13}, oversample=False)
+    path = f"{scratch(spark, 'model')}/churn_model"
+    save_pipeline(fit_pipeline(rows, KEY, TARGET, spec), path, TARGET, 0.45)
+    return Predictor(spark, path)
+
+
+@query("score_batch", MODEL_SQL + f" SELECT CustomerId, {PREDICTED_SQL.format(at=0.45)} FROM out")
 def _(spark, sf):
-    out = m.score_rows(raw_scores(spark, sf), "p")
-    return out.select(KEY, "churn_probability", "churn_flag", "risk_level")
+    return saved_predictor(spark, sf).predict(with_flags(churn_base(spark, sf)), keep=(KEY,))
 
 
-@query(
-    "score_response",
-    SCORE_SQL + " SELECT CustomerId, churn_probability, churn_flag, risk_level, 0.4::DOUBLE AS threshold_used, 'rule:customer-id' AS model_source FROM out",
-)
+@query("score_response", MODEL_SQL + f" SELECT CustomerId, {PREDICTED_SQL.format(at=0.5)}, 0.5::DOUBLE AS threshold_used, 'saved:churn_model' AS model_source FROM out")
 def _(spark, sf):
-    out = m.score_rows(raw_scores(spark, sf), "p", 0.4, "rule:customer-id")
-    return out.select(KEY, "churn_probability", "churn_flag", "risk_level", "threshold_used", "model_source")
+    model = saved_predictor(spark, sf)
+    out = model.predict(with_flags(churn_base(spark, sf)), 0.5, (KEY,))
+    return out.withColumns({"threshold_used": F.lit(0.5), "model_source": F.lit(model.source)})
 
 
 @query(

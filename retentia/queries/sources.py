@@ -9,6 +9,7 @@ from retentia.operators.ranks import quantile_map
 from retentia.plans.churn_base import KEY, churn_base, table
 from retentia.plans.preprocessing import BASE_PLAN
 from retentia.plans.quality_suites import BASE_SUITE
+from retentia.queries.evaluation import MODEL_SQL, PREDICTED_SQL, saved_predictor, with_flags
 from retentia.queries.profiling import rounded, union
 from retentia.queries.quality import ROW_RULES, broken_sql
 from retentia.queries.registry import ORACLES, query
@@ -191,19 +192,17 @@ def landed(spark, sf):
 
 @query(
     "stream_scores",
-    """SELECT CustomerId, CASE WHEN EstimatedSalary + 1 <> 0 THEN round(Balance / (EstimatedSalary + 1), 8) END AS BalanceSalaryRatio,
-    round_even(((CustomerId * 7919) % 10007) / 10007.0, 4) AS churn_probability, CAST(((CustomerId * 7919) % 10007) / 10007.0 >= 0.4 AS INT) AS churn_flag,
-    CASE WHEN ((CustomerId * 7919) % 10007) / 10007.0 <= 0.30 THEN 'low' WHEN ((CustomerId * 7919) % 10007) / 10007.0 <= 0.55 THEN 'medium' ELSE 'high' END AS risk_level
-    FROM churn_base""",
+    MODEL_SQL + f""" SELECT CustomerId, CASE WHEN EstimatedSalary + 1 <> 0 THEN round(Balance / (EstimatedSalary + 1), 8) END AS BalanceSalaryRatio,
+    {PREDICTED_SQL.format(at=0.45)} FROM out""",
 )
 def _(spark, sf):
+    """Files arrive two at a time and are scored by the saved pipeline inside the stream."""
     path, schema = landed(spark, sf)
-    out = scratch(spark, "scores")
+    out, model = scratch(spark, "scores"), saved_predictor(spark, sf)
 
     def score(rows):
-        p = ((F.col(KEY) * 7919) % 10007) / 10007.0
-        scored = m.score_rows(BASE_PLAN.transform(rows).withColumn("p", p), "p")
-        return scored.select(KEY, F.round("BalanceSalaryRatio", 8).alias("BalanceSalaryRatio"), "churn_probability", "churn_flag", "risk_level")
+        features = with_flags(BASE_PLAN.transform(rows))
+        return model.predict(features, keep=(KEY, F.round("BalanceSalaryRatio", 8).alias("BalanceSalaryRatio")))
 
     jobs.stream_scores(jobs.file_stream(spark, path, schema, 2), score, out, scratch(spark, "progress")).awaitTermination()
     return spark.read.parquet(out)
