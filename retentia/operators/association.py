@@ -12,6 +12,7 @@ from retentia.functions.expr import named
 from retentia.functions.pvalues import chi2_p, t_p
 from retentia.operators.profile import contingency
 from retentia.operators.ranks import average_rank, frequencies, melt, ranked
+from retentia.session import cut_lineage
 
 
 def _pair_rows(one: DataFrame, pairs, name: str) -> DataFrame:
@@ -28,6 +29,9 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _pair_rows(one, pairs, "r")
 
 
+HOT_SHARE = 200
+
+
 def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """(a, b, rho) for every pair, ranked among the rows where both columns are present.
 
@@ -39,20 +43,13 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     long = melt(df, columns, [named(key).alias("_key"), *present])
     weights = [f"w{j}" for j in range(len(columns))]
     freq = frequencies(long.drop("_key"), weights={w: F.col(w) for w in weights})
-    # A value held by a large share of the rows makes a hot join key: the salt spreads its rows.
-    # Only values repeated more than 64 times per salt are copied, so copies never exceed the rows.
-    salts = 16
-    heavy = F.greatest(*[F.col(w) for w in weights]) > salts * 64
-    spread = ranked(freq, weights=weights).select(
-        "feature", "value", F.array(*[average_rank(w) for w in weights]).alias("ranks"),
-        F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(-1)))).alias("_salt"),
-    )
-    hot = freq.where(heavy).select("feature", "value", F.lit(True).alias("_hot"))
-    keyed = long.select("_key", "feature", "value").join(hot, ["feature", "value"], "left")
-    keyed = keyed.withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int")).otherwise(-1)
-    )
-    looked = keyed.join(spread, ["feature", "value", "_salt"])
+    # A value that holds more than 1/HOT_SHARE of a column's rows would be a hot join key. There are at most
+    # HOT_SHARE of those per column and weight, so their ranks are broadcast; the other values join by shuffle.
+    heavy = F.greatest(*[F.coalesce(F.col(f"{w}_tie") * HOT_SHARE > F.col(f"{w}_total"), F.lit(False)) for w in weights])
+    ranks = cut_lineage(ranked(freq, weights=weights).select("feature", "value", heavy.alias("_heavy"), F.array(*[average_rank(w) for w in weights]).alias("ranks")))
+    cells = long.select("_key", "feature", "value").join(F.broadcast(ranks.where("_heavy").drop("_heavy")), ["feature", "value"], "left")
+    cold = cells.where("ranks IS NULL").drop("ranks").join(ranks.where("NOT _heavy").drop("_heavy"), ["feature", "value"])
+    looked = cells.where("ranks IS NOT NULL").unionByName(cold)
     wide = looked.groupBy("_key").agg(
         *[F.max(F.when(F.col("feature") == c, F.col("ranks"))).alias(f"r{i}") for i, c in enumerate(columns)]
     )

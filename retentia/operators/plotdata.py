@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from retentia.operators.profile import quartiles, row_percent
 from retentia.operators.ranks import frequencies, melt, quantiles_of
+from retentia.session import lookup
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int, by: Sequence[str] = ()) -> DataFrame:
@@ -24,7 +25,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, by: Sequence[str
         F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))
     )
     return (
-        long.join(span, keys)
+        long.join(lookup(span), keys)
         .groupBy(*keys, at.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.min("hi").alias("hi"))
         .select(*keys, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"), "n")
@@ -39,7 +40,7 @@ def box_plot(df: DataFrame, columns: Sequence[str], by: str, reach: float = 1.5)
     spread = (F.col("q3") - F.col("q1")) * reach
     near = (F.col("value") >= F.col("q1") - spread) & (F.col("value") <= F.col("q3") + spread)
     return (
-        freq.join(q, keys)
+        freq.join(lookup(q), keys)
         .groupBy(*keys)
         .agg(
             F.min("q1").alias("q1"), F.min("median").alias("median"), F.min("q3").alias("q3"),
@@ -68,7 +69,7 @@ def density(df: DataFrame, column: str, by: str, points: int = 100) -> DataFrame
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     u = (F.col("x") - x) / F.col("h")
     return (
-        freq.join(shape, by)
+        freq.join(lookup(shape), by)
         .select(by, "value", "n", "h", "n_all", start.alias("start"), step.alias("step"), grid.alias("point"))
         .withColumn("x", F.col("start") + F.col("point") * F.col("step"))
         .groupBy(by, "point")

@@ -78,11 +78,21 @@ def _(spark, sf):
     return ingest.union_tables([c, s])
 
 
-@query("ingest_summary")
+@query(
+    "ingest_summary",
+    "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS total_rows, true AS sizes_known, true AS ratio_holds FROM customer",
+    on_base=False,
+)
 def _(spark, sf):
+    """What any run must agree on: bytes differ from run to run, their relations do not."""
     raw, out = customer_csv(spark, sf), scratch(spark, "parquet")
     ingest.ingest_csv_to_parquet(spark, raw, out, schema=CUSTOMER_SCHEMA)
-    return ingest.ingest_summary(spark, raw, out, CUSTOMER_SCHEMA)
+    files = ingest.ingest_summary(spark, raw, out, CUSTOMER_SCHEMA)
+    ratio = F.sum("csv_bytes") / F.max("parquet_bytes")
+    return files.agg(
+        F.sum("n_rows").alias("n_rows"), F.max("total_rows").alias("total_rows"),
+        (F.min("csv_bytes") > 0).alias("sizes_known"), (F.abs(ratio - F.max("compression_ratio")) < 1e-9).alias("ratio_holds"),
+    )
 
 
 @query(
@@ -145,8 +155,8 @@ def _(spark, sf):
 
 
 def requests(spark, sf):
-    """Request objects with planted faults: no Age, a text balance, a field nobody knows."""
-    b = churn_base(spark, sf).na.drop()
+    """Request objects with planted faults: no Age, a text balance, a field nobody knows; incomplete customers stay."""
+    b = churn_base(spark, sf)
     number = {c: F.col(c).cast("double").cast("string") for c in records.REQUIRED_FIELDS if c not in ("Age", "Balance")}
     body = F.struct(
         *[x.alias(c) for c, x in number.items()],
@@ -158,7 +168,12 @@ def requests(spark, sf):
     return b.select(KEY, F.to_json(body).alias("body"))
 
 
-COMPLETE = "(SELECT * FROM churn_base WHERE CreditScore IS NOT NULL)"
+COMPLETE = f"(SELECT * FROM churn_base WHERE {' AND '.join(f'{c} IS NOT NULL' for c in records.REQUIRED_FIELDS)})"
+MISSING = union(
+    f"SELECT CustomerId, 'missing {c}' AS error FROM churn_base WHERE "
+    + {"Age": "Age IS NULL OR CustomerId % 10 = 0", "Balance": "Balance IS NULL AND CustomerId % 11 <> 0"}.get(c, f"{c} IS NULL")
+    for c in records.REQUIRED_FIELDS
+)
 
 
 @query(
@@ -173,9 +188,8 @@ def _(spark, sf):
 
 @query(
     "request_rejected",
-    f"""SELECT CustomerId, 'missing Age' AS error FROM {COMPLETE} WHERE CustomerId % 10 = 0
-    UNION ALL SELECT CustomerId, 'not a number Balance' FROM {COMPLETE} WHERE CustomerId % 11 = 0
-    UNION ALL SELECT CustomerId, 'unknown Shoe' FROM {COMPLETE} WHERE CustomerId % 7 = 0""",
+    f"""{MISSING} UNION ALL SELECT CustomerId, 'not a number Balance' FROM churn_base WHERE CustomerId % 11 = 0
+    UNION ALL SELECT CustomerId, 'unknown Shoe' FROM churn_base WHERE CustomerId % 7 = 0""",
 )
 def _(spark, sf):
     bad = records.rejected(records.parse_requests(requests(spark, sf), "body", [KEY]), [KEY])
