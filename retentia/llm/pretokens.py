@@ -10,24 +10,37 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
-from retentia.llm.common import Bounded
-
 # Characters asked about: Latin blocks and general punctuation.
 CANDIDATES = [*range(0x00, 0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC, 0x2122]
 CACHE_ENTRIES = 400_000
 # Texts are worked on in groups of about so many characters, whatever the Arrow batch holds.
-GROUP_CHARS = 1_000_000
-JOINED = 2_000
+GROUP_CHARS = 500_000
+
+
+class Merged(dict):
+    """Values of pre-tokens, made when first asked for; starts anew when it is full."""
+
+    def __init__(self, make, limit: int = CACHE_ENTRIES):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, token: str):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[token] = self.make(token)
+        return value
 
 
 class PretokenEncoder:
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        self.bytes_as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -38,7 +51,7 @@ class PretokenEncoder:
             [(self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.library.get_vocab_size())]
         )
         self._learn_characters(self._split_pattern(spec))
-        self.cache: Bounded = Bounded(CACHE_ENTRIES)
+        self.cache = Merged(self.merge)
 
     @staticmethod
     def _split_pattern(spec: dict) -> str | None:
@@ -81,7 +94,10 @@ class PretokenEncoder:
 
         self.odd = re.compile(f"[^{group(every)}]") if every else re.compile("(?s:.)")
         if every:
-            own = pattern.replace(r"[^\s\p{L}\p{N}]", f"[{group(kinds['other'])}]")
+            # Nothing before the letters' alternative starts with a letter, so that one may come first.
+            first = pattern.split(r"[\p{L}]+")[0].split("|")
+            own = pattern if any(a[:1].isalpha() or a[:1] in "[(." for a in first) else r"[\p{L}]+|" + pattern
+            own = own.replace(r"[^\s\p{L}\p{N}]", f"[{group(kinds['other'])}]")
             own = own.replace(r"[\p{L}]", f"[{group(kinds['letter'])}]").replace(r"[\p{N}]", f"[{group(kinds['number'])}]")
             self.split = re.compile(own).findall
 
@@ -91,40 +107,18 @@ class PretokenEncoder:
     def pretokens(self, text: str) -> list[str]:
         return self.split(text.lower())
 
-    def encode_unknown(self, tokens: list[str]) -> Iterator[tuple[str, np.ndarray]]:
-        """(pre-token, ids) by the library, many pre-tokens a call."""
-        groups = [tokens[i : i + JOINED] for i in range(0, len(tokens), JOINED)]
-        for group, coded in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(coded.ids, np.uint32)
-            cuts = np.flatnonzero(self.is_end[ids]) + 1
-            if len(cuts) == len(group):
-                parts = np.split(ids, cuts[:-1])
-            else:
-                parts = [np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32) for t in group]
-            yield from zip(group, parts)
-
-    def _cached(self, texts: list[str], value, known: dict) -> list[list | None]:
-        """Per text its pre-tokens, all of them in `known` or the cache afterwards; None for texts that are not plain."""
-        split = [self.pretokens(t) if self.plain(t) else None for t in texts]
-        wanted = {t for tokens in split if tokens for t in tokens}
-        wanted.difference_update(known)
-        new = [t for t in wanted if t not in self.cache]
-        if len(self.cache) + len(new) > self.cache.limit:
-            self.cache.clear()
-            new = list(wanted)
-        for token, ids in self.encode_unknown(new):
-            self.cache[token] = value(ids)
-        return split
+    def merge(self, token: str) -> bytes:
+        """Ids of one pre-token as little-endian uint32, by the library's model: normaliser and splitter are done."""
+        spelled = token if token.isascii() and token.isprintable() else self.bytes_as_characters.pre_tokenize_str(token)[0][0]
+        return array("I", [piece.id for piece in self.library.model.tokenize(spelled)]).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def id_bytes(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        split = self._cached(texts, lambda ids: ids.astype("<u4").tobytes(), {})
         get = self.cache.__getitem__
-        return [
-            b"".join(map(get, tokens)) if tokens is not None
-            else np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            for text, tokens in zip(texts, split)
-        ]
+        return [b"".join(map(get, self.pretokens(t))) if self.plain(t) else self._whole(t) for t in texts]
 
 
 class PretokenCounter(PretokenEncoder):
@@ -133,6 +127,7 @@ class PretokenCounter(PretokenEncoder):
     def __init__(self, path: str):
         super().__init__(path)
         self.whole = self.prove_whole_tokens()
+        self.cache = Merged(lambda token: len(self.merge(token)) // 4)
 
     def prove_whole_tokens(self) -> frozenset[str]:
         """Pre-tokens the library itself encodes as the single token of that string."""
@@ -141,19 +136,18 @@ class PretokenCounter(PretokenEncoder):
         spell = decoders.ByteLevel().decode
         words = {spell([self.library.id_to_token(i).removesuffix("</w>")]) for i in np.flatnonzero(self.is_end).tolist()}
         texts = [t for t in words if t and t == t.lower() and self.plain(t)]
-        alone = [t for t in texts if self.split(t) == [t]]
-        return frozenset(t for t, ids in self.encode_unknown(alone) if len(ids) == 1)
+        return frozenset(t for t in texts if self.split(t) == [t] and len(self._whole(t)) == 4)
 
     def counts(self, texts: list[str]) -> list[int]:
-        split = self._cached(texts, len, self.whole)
-        whole, merged = self.whole, self.cache
+        whole, get = self.whole, self.cache.__getitem__
         out = []
-        for text, tokens in zip(texts, split):
-            if tokens is None:
-                out.append(len(self.library.encode(text, add_special_tokens=False).ids))
-            else:
+        for text in texts:
+            if self.plain(text):
+                tokens = self.pretokens(text)
                 rest = [t for t in tokens if t not in whole]
-                out.append(len(tokens) - len(rest) + sum(map(merged.__getitem__, rest)))
+                out.append(len(tokens) - len(rest) + sum(map(get, rest)))
+            else:
+                out.append(len(self._whole(text)) // 4)
         return out
 
 
