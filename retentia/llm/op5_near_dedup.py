@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retentia.llm.common import Bounded, table, without, written
 from retentia.llm.pretokens import text_groups
-from retentia.session import cut_lineage
 
 SHINGLE = 3
 PERCENT = 85
@@ -183,28 +182,28 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
 
 def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """`labels` (node, label) after joining the components that `links` (a, b) connect; a label is the smallest node."""
+    """`labels` (node, label) after joining the components that `links` (a, b) connect; a label is the smallest node.
+
+    Works on the labels that the links touch: each takes the smallest root among its neighbours, then its root's
+    root, until no root moves. Every round is one small job whose result is written.
+    """
     named = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "x")
     other = labels.withColumnRenamed("node", "b").withColumnRenamed("label", "y")
-    edges = cut_lineage(links.join(named, "a").join(other, "b").where("x != y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    while edges.take(1):
-        both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        parent = cut_lineage(both.groupBy(F.col("x").alias("child")).agg(F.min("y").alias("up")).where("up < child"))
-        while True:
-            # Pointer jumping to the root of each hook.
-            above = parent.select(F.col("child").alias("up"), F.col("up").alias("top"))
-            moved = cut_lineage(parent.join(above, "up", "left").select("child", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")))
-            parent = moved.select("child", "up")
-            if not moved.where("moved").take(1):
-                break
-        labels = cut_lineage(labels.join(parent, labels["label"] == parent["child"], "left").select("node", F.coalesce("up", "label").alias("label")))
-        one = parent.select(F.col("child").alias("x"), F.col("up").alias("p"))
-        two = parent.select(F.col("child").alias("y"), F.col("up").alias("q"))
-        x, y = F.coalesce("p", "x"), F.coalesce("q", "y")
-        edges = cut_lineage(
-            edges.join(one, "x", "left").join(two, "y", "left").where(x != y).select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
-        )
-    return labels
+    once = links.join(named, "a").join(other, "b").where("x != y").select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e"))
+    edges = written(once.select("e.x", "e.y").distinct(), "op5-edges")
+    if not edges.take(1):
+        return labels
+    roots = edges.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("root"))
+    roots = written(roots, "op5-roots")
+    while True:
+        lower = edges.join(roots.select(F.col("x").alias("y"), F.col("root").alias("r")), "y").groupBy("x").agg(F.min("r").alias("r"))
+        met = roots.join(lower, "x").select("x", "root", F.least("root", "r").alias("up"))
+        above = roots.select(F.col("x").alias("up"), F.col("root").alias("top"))
+        moved = written(met.join(above, "up").select("x", F.least("up", "top").alias("root"), (F.least("up", "top") < F.col("root")).alias("moved")), "op5-moved")
+        roots = moved.select("x", "root")
+        if not moved.where("moved").take(1):
+            break
+    return written(labels.join(roots.withColumnRenamed("x", "label"), "label", "left").select("node", F.coalesce("root", "label").alias("label")), "op5-labels")
 
 
 def crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -232,7 +231,7 @@ def rest_of_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, p
         .where("kinds > 1 AND size > 2")
         .select("key", "major", F.ceil(F.col("size") / block).alias("across"), F.ceil((F.col("size") - F.col("largest")) / block).alias("down"))
     )
-    rows = cut_lineage(placed.join(mixed, "key").withColumn("minor", F.col("label") != F.col("major")))
+    rows = written(placed.join(mixed, "key").withColumn("minor", F.col("label") != F.col("major")), "op5-mixed")
     own = F.xxhash64("node")
 
     def steps(n: str):
@@ -299,28 +298,27 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, size: int = SH
 
     # Rows that repeat a doc_id with different texts join their classes.
     repeated = linked.groupBy("doc_id").agg(F.min("digest").alias("one"), F.max("digest").alias("two")).where("one != two").select("doc_id")
-    again = cut_lineage(linked.join(repeated, "doc_id").join(classes.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
-    labels = members.select("node").distinct()
-    labels = cut_lineage(labels.unionByName(again.select(F.col("a").alias("node"))).unionByName(again.select(F.col("b").alias("node"))).distinct().select("node", F.col("node").alias("label")))
-    labels = relabel(labels, again)
-
-    def settle(labels: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Labels after confirming what is needed of `pairs`, and the pairs that need no more test."""
-        needed = pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).distinct()
-        needed = cut_lineage(needed)
-        ids = needed.select(F.col("n").alias("doc_id"))
-        ids = F.broadcast(ids) if needed.count() <= MAX_BROADCAST_IDS else ids
+    again = written(linked.join(repeated, "doc_id").join(classes.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "op5-repeated")
+    nodes = members.select("node").unionByName(again.select(F.col("a").alias("node"))).unionByName(again.select(F.col("b").alias("node"))).distinct()
+    labels = relabel(written(nodes.select("node", F.col("node").alias("label")), "op5-labels"), again)
+
+    def settle(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Labels after confirming what is needed of `pairs`: each node's likeliest partner, then what still crosses."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        ids = written(ends.distinct(), "op5-ids")
+        ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
         source = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         texts = written(source.join(ids, "doc_id", "left_semi"), "op5-texts")
-        first = cut_lineage(likeliest(crossing(pairs, labels)))
+        first = written(likeliest(pairs), "op5-first")
         labels = relabel(labels, confirm(first, texts, percent, size))
-        second = cut_lineage(crossing(pairs.join(first, ["a", "b"], "left_anti"), labels).select("a", "b"))
-        return relabel(labels, confirm(second, texts, percent, size)), pairs.select("a", "b")
+        second = crossing(pairs.join(first, ["a", "b"], "left_anti"), labels).select("a", "b")
+        return relabel(labels, confirm(second, texts, percent, size))
 
-    labels, done = settle(labels, survivors)
-    more = written(rest_of_buckets(members.select("key", "node"), labels, classes, percent).join(done, ["a", "b"], "left_anti"), "op5-rest")
+    labels = settle(labels, survivors)
+    rest = rest_of_buckets(members.select("key", "node"), labels, classes, percent)
+    more = written(rest.join(survivors.select("a", "b"), ["a", "b"], "left_anti"), "op5-rest")
     if more.take(1):
-        labels, _ = settle(labels, more)
+        labels = settle(labels, more)
     by_class = classes.select("digest", "rep")
     named = rows.select("doc_id", "n_shingles", "digest").join(by_class, "digest", "left").withColumn("node", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")))
     final = named.join(labels, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "node", "doc_id")))
