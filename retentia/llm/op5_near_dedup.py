@@ -7,8 +7,9 @@
 3. Signatures of a candidate pair are compared batch by batch; a pair is dropped once the posterior probability that
    its similarity reaches the threshold is below MISS (uniform prior). Survivors are confirmed on full shingle sets:
    first each class's likeliest partner, then what still crosses components.
-4. Buckets whose members are still in different components are compared completely, in blocks of bounded size inside
-   tasks, members of the bucket's largest component only with the others. Only survivors leave a task.
+4. Buckets whose members are still in different components are compared completely, members of the bucket's largest
+   component only with the others, each pair only in its first common band. Small buckets give their surviving pairs to
+   step 3; large ones are cut into blocks and confirmed inside tasks, and only links that join components leave a task.
 
 A link of similarity t is missed only if no band of both signatures agrees ((1 - t^5)^26, 3e-7 at 0.85) or with
 probability MISS. Links join components whose label is the smallest doc_id.
@@ -37,10 +38,14 @@ ROWS = 5
 HASHES = BANDS * ROWS
 MISS = 1e-6
 BATCH = 26
-BLOCK = 512
+# Buckets up to this size give their pairs to the join that confirms; larger ones are confirmed where they are compared.
+SMALL_BUCKET = 32
+# Members of one side of a cell of a large bucket.
+BLOCK = 256
+TESTED_AT_ONCE = 64
 # Ids take 16 bytes each in a broadcast relation; more are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
-WORD_CACHE = 300_000
+WORD_CACHE = 200_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _RNG = np.random.default_rng(20250)
@@ -221,76 +226,164 @@ def likeliest(pairs: DataFrame) -> DataFrame:
     return top.select(F.least("n", "o").alias("a"), F.greatest("n", "o").alias("b")).distinct()
 
 
-def rest_of_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Surviving (a, b, matches) between components that share a bucket (key, node) of three or more."""
-    placed = members.join(labels, "node").select("key", "node", "label")
+def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Consecutive rows of equal keys, put together across batches."""
+    held: list[pa.RecordBatch] = []
+    now: tuple = ()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in keys], 1)
+        cuts = (np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(values)]):
+            key = tuple(values[a].tolist())
+            if held and key != now:
+                yield now, pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield now, pa.Table.from_batches(held)
+
+
+def first_band(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The first band in which each pair of signatures agrees: the one bucket that compares it."""
+    same = (left == right).reshape(-1, BANDS, ROWS).all(axis=2)
+    return np.where(same.any(axis=1), same.argmax(axis=1), -1)
+
+
+def mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (key, band, node, label) of buckets of three or more that hold several components.
+
+    minor: not of the bucket's largest component; size and minors count the bucket's members.
+    """
+    placed = members.join(labels, "node").select("key", "band", "node", "label")
     shares = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = (
         shares.groupBy("key")
         .agg(F.sum("n").alias("size"), F.max("n").alias("largest"), F.max_by("label", F.struct("n", "label")).alias("major"), F.count("*").alias("kinds"))
         .where("kinds > 1 AND size > 2")
-        .select("key", "major", F.ceil(F.col("size") / block).alias("across"), F.ceil((F.col("size") - F.col("largest")) / block).alias("down"))
+        .select("key", "major", "size", (F.col("size") - F.col("largest")).alias("minors"))
     )
-    rows = written(placed.join(mixed, "key").withColumn("minor", F.col("label") != F.col("major")), "op5-mixed")
+    return placed.join(mixed, "key").withColumn("minor", F.col("label") != F.col("major")).drop("major")
+
+
+def small_bucket_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Surviving (a, b, matches) between components of small mixed buckets, each pair from its first common band."""
+
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, band), run in key_runs(batches, ["key", "band"]):
+            node, label = run["node"].to_numpy(), run["label"].to_numpy()
+            sig = _signatures(run["signature"])
+            i, j = np.triu_indices(len(node), 1)
+            apart = label[i] != label[j]
+            i, j = i[apart], j[apart]
+            mine = first_band(sig[i], sig[j]) == band
+            i, j = i[mine], j[mine]
+            matches = surviving(sig[i], sig[j], percent)
+            ok = matches >= 0
+            a, b = node[i[ok]], node[j[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(matches[ok])], ["a", "b", "matches"])
+
+    cells = rows.select("key", "band", "node", "label").join(classes.select(F.col("rep").alias("node"), "signature"), "node")
+    ordered = cells.repartition("key").sortWithinPartitions("key")
+    return ordered.select("key", "band", "node", "label", "signature").mapInArrow(tested, "a long, b long, matches long").distinct()
+
+
+def large_bucket_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(a, b) confirmed links between components of large mixed buckets, compared in blocks of bounded size.
+
+    Minor members meet every block of their bucket. A cell tests pairs against full shingle sets, likeliest first, and
+    leaves out pairs whose components it has already joined, so it emits fewer links than it has components.
+    """
     own = F.xxhash64("node")
+    sized = rows.withColumns({"across": F.ceil(F.col("size") / block), "down": F.ceil(F.col("minors") / block)})
 
     def steps(n: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    left = rows.where("minor").select("key", F.pmod(own, "down").alias("row"), steps("across").alias("col"), "node", "label", F.lit(True).alias("left"), "minor")
-    right = rows.select("key", steps("down").alias("row"), F.pmod(own, "across").alias("col"), "node", "label", F.lit(False).alias("left"), "minor")
-    cells = left.unionByName(right).join(classes.select(F.col("rep").alias("node"), "signature"), "node")
-
-    def cell_survivors(key: tuple, node, label, left, minor, sig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        out = []
-        rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
-        for i in rows:
-            # Each pair of minor members once; minor with major always.
+    left = sized.where("minor").select("key", "band", F.pmod(own, "down").alias("row"), steps("across").alias("col"), "node", "label", F.lit(True).alias("left"), "minor")
+    right = sized.select("key", "band", steps("down").alias("row"), F.pmod(own, "across").alias("col"), "node", "label", F.lit(False).alias("left"), "minor")
+    cells = left.unionByName(right).join(classes.select(F.col("rep").alias("node"), "signature"), "node").join(sets, "node")
+
+    def cell_links(band: int, run: pa.Table) -> list[tuple[int, int]]:
+        node, label = run["node"].to_numpy(), run["label"].to_numpy()
+        is_left, minor = run["left"].to_numpy(), run["minor"].to_numpy()
+        sig = _signatures(run["signature"])
+        shingles = [np.frombuffer(x.as_buffer(), "<u8") for x in run["shingles"]]
+        parent = {x: x for x in label.tolist()}
+
+        def find(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found = []
+        cols = np.flatnonzero(~is_left)
+        for i in np.flatnonzero(is_left):
+            # A pair of minor members is tested from one side, one of minor and major always.
             js = cols[(label[cols] != label[i]) & (~minor[cols] | (node[cols] > node[i]))]
-            if len(js):
-                matches = surviving(np.broadcast_to(sig[i], (len(js), HASHES)), sig[js], percent)
-                ok = matches >= 0
-                out.append((np.minimum(node[i], node[js[ok]]), np.maximum(node[i], node[js[ok]]), matches[ok]))
-        if not out:
-            return tuple(np.zeros(0, np.int64) for _ in range(3))
-        return tuple(np.concatenate(x) for x in zip(*out))
+            js = js[first_band(np.broadcast_to(sig[i], (len(js), HASHES)), sig[js]) == band] if len(js) else js
+            matches = surviving(np.broadcast_to(sig[i], (len(js), HASHES)), sig[js], percent)
+            js = js[np.argsort(-matches, kind="stable")][: int((matches >= 0).sum())]
+            while len(js):
+                apart = np.array([find(x) != find(label[i]) for x in label[js].tolist()])
+                js = js[apart]
+                now, js = js[:TESTED_AT_ONCE], js[TESTED_AT_ONCE:]
+                for j in now[similar(shingles[i], [shingles[j] for j in now], percent)] if len(now) else ():
+                    x, y = find(label[i]), find(label[j])
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        found.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+        return found
 
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        held_key = None
+        for (_, band, _, _), run in key_runs(batches, ["key", "band", "row", "col"]):
+            found = cell_links(band, run)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+    columns = ["key", "band", "row", "col", "node", "label", "left", "minor", "signature", "shingles"]
+    ordered = cells.select(*columns).repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
+    return ordered.mapInArrow(tested, "a long, b long").distinct()
 
-        def close():
-            parts = [np.concatenate(x) for x in zip(*held)]
-            found = cell_survivors(held_key, *parts)
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b", "matches"])
 
+def similar(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the (non-empty, sorted) sets reach the threshold with `one`."""
+    sizes = np.array([len(o) for o in others])
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    common = np.add.reduceat((one[at] == every).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
+def texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the listed ids; the list is broadcast only up to a counted size."""
+    ids = written(ids.distinct(), "op5-ids")
+    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    source = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return written(source.join(ids, "doc_id", "left_semi"), "op5-texts")
+
+
+def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles): the sorted 64-bit hashes as bytes."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "row", "col")], 1)
-            data = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "left", "minor")] + [_signatures(batch.column("signature"))]
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-                key = tuple(keys[a].tolist())
-                if held and key != held_key:
-                    yield close()
-                    held = []
-                held_key = key
-                held.append([d[a:b] for d in data])
-        if held:
-            yield close()
-
-    sorted_cells = cells.select("key", "row", "col", "node", "label", "left", "minor", "signature").repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
-    return sorted_cells.mapInArrow(tested, "a long, b long, matches long").distinct()
-
-
-def near_duplicates(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+            for first, group in text_groups(batch.column("text")):
+                sets = pa.array([shingle_set(t, size).astype("<u8").tobytes() for t in group], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(group)), sets], ["node", "shingles"])
+
+    return written(texts.mapInArrow(made, "node long, shingles binary").where("length(shingles) > 0"), "op5-sets")
+
+
+def near_duplicates(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `documents`."""
     rows = written(features(documents, size), "op5-features")
     linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(linked.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "op5-classes")
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + 4 * ROWS * b, 4 * ROWS)) for b in range(BANDS)])
-    banded = classes.select(F.col("rep").alias("node"), F.explode(keys).alias("key"))
+    banded = classes.select(F.col("rep").alias("node"), F.posexplode(keys).alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min_by("node", F.xxhash64("key", "node")).alias("center"), F.min("node").alias("low"), F.max("node").alias("high"))
     members = written(banded.join(buckets.where("low < high").drop("low", "high"), "key"), "op5-members")
     stars = members.where("node != center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
@@ -304,21 +397,21 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, size: int = SH
 
     def settle(labels: DataFrame, pairs: DataFrame) -> DataFrame:
         """Labels after confirming what is needed of `pairs`: each node's likeliest partner, then what still crosses."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-        ids = written(ends.distinct(), "op5-ids")
-        ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-        source = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        texts = written(source.join(ids, "doc_id", "left_semi"), "op5-texts")
+        texts = texts_of(documents, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
         first = written(likeliest(pairs), "op5-first")
         labels = relabel(labels, confirm(first, texts, percent, size))
         second = crossing(pairs.join(first, ["a", "b"], "left_anti"), labels).select("a", "b")
         return relabel(labels, confirm(second, texts, percent, size))
 
     labels = settle(labels, survivors)
-    rest = rest_of_buckets(members.select("key", "node"), labels, classes, percent)
-    more = written(rest.join(survivors.select("a", "b"), ["a", "b"], "left_anti"), "op5-rest")
+    mixed = written(mixed_buckets(members, labels), "op5-mixed")
+    more = written(small_bucket_pairs(mixed.where(F.col("size") <= small_bucket), classes, percent).join(survivors.select("a", "b"), ["a", "b"], "left_anti"), "op5-small")
     if more.take(1):
         labels = settle(labels, more)
+    large = mixed.where(F.col("size") > small_bucket)
+    if large.take(1):
+        sets = shingle_sets(texts_of(documents, large.select(F.col("node").alias("doc_id"))), size)
+        labels = relabel(labels, large_bucket_links(large, classes, sets, percent))
     by_class = classes.select("digest", "rep")
     named = rows.select("doc_id", "n_shingles", "digest").join(by_class, "digest", "left").withColumn("node", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")))
     final = named.join(labels, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "node", "doc_id")))

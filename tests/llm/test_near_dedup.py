@@ -82,24 +82,57 @@ def test_defined_results(spark):
     assert dedup.near_duplicates(frame.limit(0)).collect() == []
 
 
-def test_blocks_of_a_large_bucket(spark):
-    """Members of one bucket, compared block by block, give every pair across components."""
-    rng = np.random.default_rng(5)
-    base = rng.integers(0, 1 << 32, dedup.HASHES).astype("<u4")
-    signatures = []
-    for _ in range(90):
-        own = base.copy()
-        own[rng.choice(dedup.HASHES, 12, replace=False)] = rng.integers(0, 1 << 32, 12)
-        signatures.append(own)
-    label = [0] * 60 + list(range(60, 90))
-    members = spark.createDataFrame([(7, n) for n in range(90)], "key long, node long")
-    labels = spark.createDataFrame(list(enumerate(label)), "node long, label long")
-    classes = spark.createDataFrame([(n, bytearray(s.tobytes())) for n, s in enumerate(signatures)], "rep long, signature binary")
-    want = {(a, b) for b in range(90) for a in range(b) if label[a] != label[b] and dedup.surviving(signatures[a][None], signatures[b][None], 85)[0] >= 0}
-    assert len(want) > 500
-    for block in (7, 64, 512):
-        found = dedup.rest_of_buckets(members, labels, classes, 85, block).collect()
-        assert {(r["a"], r["b"]) for r in found} == want
+def hot_group(n=130):
+    """Copies of one text with several words changed: some link, some do not, all share buckets."""
+    rng = random.Random(12)
+    base = [f"t{k}" for k in range(120)]
+    rows = []
+    for k in range(n):
+        text = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6])):
+            text[rng.randrange(len(text))] = f"n{rng.randrange(10_000)}"
+        rows.append((k * 7 % 131, " ".join(text), "en", k, None))
+    return rows
+
+
+@pytest.mark.parametrize("small", [0, 8, 1000])
+def test_hot_group(spark, small):
+    rows = hot_group()
+    want = brute(rows)
+    assert 10 < len({w[2] for w in want}) < 120
+    got_rows = dedup.near_duplicates(spark.createDataFrame(rows, DOC), small_bucket=small).collect()
+    assert sorted((tuple(r) for r in got_rows), key=str) == want
+
+
+def test_cells_join_all_linked_components(spark):
+    """Blocks of any size leave the components that all pairs of the bucket give; few links leave them."""
+    rows = hot_group(90)
+    sets = {d: dedup.shingle_set(t) for d, t, *_ in rows}
+    nodes = sorted(sets)
+    signatures = {d: dedup.signature(x) for d, x in sets.items()}
+    label = {d: d for d in nodes} | {d: nodes[0] for d in nodes[:30]}
+    classes = spark.createDataFrame([(d, bytearray(signatures[d].tobytes())) for d in nodes], "rep long, signature binary")
+    hashes = spark.createDataFrame([(d, bytearray(sets[d].tobytes())) for d in nodes], "node long, shingles binary")
+    labels = spark.createDataFrame(list(label.items()), "node long, label long")
+    # One bucket per band holds all nodes: every pair with a common band is tested once.
+    members = spark.createDataFrame([(b, b, d) for b in range(dedup.BANDS) for d in nodes], "key long, band int, node long")
+    mixed = dedup.mixed_buckets(members, labels)
+    parent = dict(label)
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for i in nodes:
+        for j in nodes:
+            if i < j and dedup.first_band(signatures[i][None], signatures[j][None])[0] >= 0 and dedup.similar(sets[i], [sets[j]], 85)[0]:
+                x, y = sorted((find(label[i]), find(label[j])))
+                parent[y] = x
+    want = {d: find(label[d]) for d in nodes}
+    for block in (7, 40, 256):
+        links = dedup.large_bucket_links(mixed, classes, hashes, 85, block)
+        assert {r["node"]: r["label"] for r in dedup.relabel(labels, links).collect()} == want
+    pairs = {(r["a"], r["b"]) for r in dedup.small_bucket_pairs(mixed, classes, 85).collect()}
+    assert all(label[a] != label[b] for a, b in pairs) and {(a, b) for a, b in pairs if dedup.similar(sets[a], [sets[b]], 85)[0]}
 
 
 def test_sequential_test_keeps_similar_pairs():
