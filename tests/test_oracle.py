@@ -13,7 +13,8 @@ NAMES = [
     "percentiles", "iqr_outliers", "duplicates", "quantile_bins_merged", "box_plot", "density", "spearman_matrix",
     "chi_square_all_pairs", "mann_whitney", "kruskal_wallis", "levene", "normality", "ks_drift", "psi", "quality_suite",
     "quality_quarantine", "classification_metrics", "threshold_sweep", "fold_metrics", "stratified_split",
-    "stratified_folds", "request_rejected", "ingest_csv", "nearest_neighbours", "linear_contributions",
+    "chi_square_p", "welch_p", "ks_normal", "leakage_screen", "schema_listing", "report_json", "ingest_summary", "score_batch",
+    "stream_window_psi", "stratified_folds", "request_rejected", "ingest_csv", "nearest_neighbours", "linear_contributions",
 ]
 
 

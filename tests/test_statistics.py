@@ -90,25 +90,23 @@ def test_numbering_under_skewed_keys(spark):
     assert [r.rn for r in rows] == list(range(1, 3001))
 
 
-def test_imputer_same_on_both_paths(base, monkeypatch):
-    from retentia.operators import ranks, stages
-
+def test_imputer_learns_what_the_builtins_find(base):
     specs = [
         {"column": "CreditScore", "strategy": "median_by_group", "group_by": "Geography"},
         {"column": "Age", "strategy": "median"}, {"column": "NumOfProducts", "strategy": "mode"},
         {"column": "CardType", "strategy": "mode"}, {"column": "Balance", "strategy": "constant", "fill_value": 0},
     ]
-
-    def learned():
-        return [{**e, "groups": sorted(e.get("groups", []))} for e in DataImputer(specs).fit(base).value]
-
-    small = learned()
-    monkeypatch.setattr(stages, "ONE_TASK_ROWS", 10)
-    monkeypatch.setattr(ranks, "ONE_TASK_ROWS", 10)
-    large = learned()
-    for x, y in zip(small, large):
-        assert x["fill"] == pytest.approx(y["fill"]) if not isinstance(x["fill"], str) else x["fill"] == y["fill"]
-        assert [g[1] for g in x["groups"]] == pytest.approx([g[1] for g in y["groups"]])
+    model = DataImputer(specs).fit(base)
+    fill = {e["column"]: e["fill"] for e in model.value}
+    want = base.agg(
+        F.percentile("CreditScore", 0.5).alias("CreditScore"), F.percentile("Age", 0.5).alias("Age"),
+        F.mode("NumOfProducts", True).cast("double").alias("NumOfProducts"), F.mode("CardType", True).alias("CardType"),
+    ).first()
+    assert fill["CardType"] == want.CardType and fill["Balance"] == 0
+    assert [fill[c] for c in ("CreditScore", "Age", "NumOfProducts")] == pytest.approx([want.CreditScore, want.Age, want.NumOfProducts])
+    groups = {r.Geography: r.m for r in base.where("CreditScore IS NOT NULL").groupBy("Geography").agg(F.percentile("CreditScore", 0.5).alias("m")).collect()}
+    learned = {r["Geography"]: r["CreditScore"] for r in model.tables["Geography"].collect()}
+    assert set(learned) == set(groups) and all(learned[g] == pytest.approx(m) for g, m in groups.items())
 
 
 def test_mode_takes_smallest_on_ties(spark):
