@@ -35,7 +35,7 @@ RATE = 0.5
 LONGEST_GRAM = 4
 # Share of correctly predicted calibration passages that the threshold may reject.
 REJECTED_SHARE = 0.001
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
