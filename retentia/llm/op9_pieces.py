@@ -30,7 +30,7 @@ from retentia.llm.pretokens import shared, text_groups
 MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
 THREADS = 2
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -143,6 +143,11 @@ class PieceCoder:
             self.model.dummy_prefix and not self.model.charsmap and not self.model.squeeze and USER not in self.model.types
             and not any(MARKER in p.lstrip(MARKER) for p in usable)
         )
+        # What the pipeline's decoder makes of each piece; None where it depends on more than the piece.
+        self.spelling = [
+            bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARKER, " ").encode() if t in (NORMAL, USER) else None
+            for p, t in zip(self.model.pieces, self.model.types)
+        ]
         self.cache: Bounded = Bounded(CACHE_ENTRIES)
         self.differ = 0
 
@@ -189,7 +194,16 @@ class PieceCoder:
         return [next(coded) if w else empty for w in words]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
-        return self.library.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+        """Texts as the pipeline decodes them; ids outside plain pieces, and bytes that are no UTF-8, are left to it."""
+        out = []
+        for own in ids:
+            listed = own.tolist()
+            try:
+                text = b"".join([self.spelling[i] for i in listed]).decode()
+                out.append(text[1:] if self.model.dummy_prefix and text[:1] == " " else text)
+            except (TypeError, UnicodeDecodeError):
+                out.append(self.library.decode(listed, skip_special_tokens=False))
+        return out
 
 
 def encode_documents(documents: DataFrame, path: str) -> DataFrame:

@@ -67,6 +67,13 @@ def test_unigram_as_sentencepiece(tmp_path):
     assert coder.differ == 0
 
 
+def test_decode_as_the_pipeline():
+    """Any ids: plain pieces, bytes that do not form characters, control pieces."""
+    coder, rng = shared(PieceCoder, PATH), np.random.default_rng(6)
+    ids = [rng.integers(0, 32000, n) for n in (1, 5, 300)] + [rng.integers(0, 260, 40) for _ in range(30)] + [np.array([29871, 29871, 13]), np.zeros(0, int)]
+    assert coder.decode(ids) == [coder.library.decode(i.tolist(), skip_special_tokens=False) for i in ids]
+
+
 def test_protobuf_settings():
     model = ModelFile(open(PATH, "rb").read())
     assert len(model.pieces) == 32000 and model.byte_fallback and model.dummy_prefix and not model.squeeze and model.unk == 0
