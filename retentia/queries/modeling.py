@@ -153,22 +153,16 @@ def _(spark, sf):
     return clustering.segment(churn_base(spark, sf), CONTINUOUS, TARGET, range(2, 5), n_init=2)[2]
 
 
-SMALL = {
-    "logistic_regression": {},
-    "random_forest": {"n_estimators": 20, "max_depth": 6},
-    "boosting_depth": {"n_estimators": 10, "max_depth": 3},
-    "boosting_leaf": {"n_estimators": 10, "num_leaves": 8},
-}
+MODELS = ("logistic_regression", "random_forest", "boosting_depth", "boosting_leaf")
 
 
 def model_query(model):
     @query(f"model_{model}")
     def _(spark, sf):
-        spec = t.base_spec(model, params=SMALL[model], oversample=False)
-        return t.holdout_evaluation(features(spark, sf), KEY, TARGET, spec)[2]
+        return t.holdout_evaluation(features(spark, sf), KEY, TARGET, t.base_spec(model))[2]
 
 
-for model in SMALL:
+for model in MODELS:
     model_query(model)
 
 
@@ -179,25 +173,22 @@ def _(spark, sf):
 
 @query("cross_validation")
 def _(spark, sf):
-    return t.cross_validate(features(spark, sf), KEY, TARGET, t.base_spec("logistic_regression", oversample=False))
+    return t.cross_validate(features(spark, sf), KEY, TARGET, t.base_spec("logistic_regression"))
 
 
 @query("search_trials")
 def _(spark, sf):
-    spec = t.base_spec("logistic_regression", oversample=False, params={"max_iter": 50})
-    return t.search(features(spark, sf), KEY, TARGET, spec, trials=3, k=3, methods=("none", "pca"))[0]
+    return t.search(features(spark, sf), KEY, TARGET, t.base_spec("logistic_regression"))[0]
 
 
 @query("reducer_comparison")
 def _(spark, sf):
-    spec = t.base_spec("logistic_regression", oversample=False, params={"max_iter": 50})
     reducers = [{"method": "none"}, {"method": "pca", "n_components": 18}, {"method": "lda", "n_components": 1}]
-    return t.compare_reducers(features(spark, sf), KEY, TARGET, spec, reducers, k=3)
+    return t.compare_reducers(features(spark, sf), KEY, TARGET, t.base_spec("logistic_regression"), reducers)
 
 
 def fitted(spark, sf, model="random_forest"):
-    spec = t.base_spec(model, params=SMALL[model], oversample=False)
-    return t.fit_pipeline(features(spark, sf), KEY, TARGET, spec)
+    return t.fit_pipeline(features(spark, sf), KEY, TARGET, t.base_spec(model))
 
 
 @query("feature_importance")
@@ -251,7 +242,7 @@ def _(spark, sf):
 @query("run_log", union(f"SELECT 'holdout' AS stage, '{m}' AS metric, 1 AS step" for m in METRICS), on_base=False)
 def _(spark, sf):
     root = scratch(spark, "runs")
-    spec = t.base_spec("logistic_regression", oversample=False)
+    spec = t.base_spec("logistic_regression")
     metrics = t.holdout_evaluation(features(spark, sf), KEY, TARGET, spec)[2].first()
     run = {
         "run_uuid": uuid.uuid4().hex, "experiment": "churn", "name": "deploy_final_model", "stage": "holdout",
