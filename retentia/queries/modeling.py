@@ -145,12 +145,12 @@ for estimator in ("random_forest", "logistic_regression"):
 
 @query("cluster_elbow")
 def _(spark, sf):
-    return clustering.segment(churn_base(spark, sf), CONTINUOUS, TARGET, n_init=2)[0]
+    return clustering.segment(churn_base(spark, sf), CONTINUOUS, TARGET)[0]
 
 
 @query("cluster_profile")
 def _(spark, sf):
-    return clustering.segment(churn_base(spark, sf), CONTINUOUS, TARGET, range(2, 5), n_init=2)[2]
+    return clustering.segment(churn_base(spark, sf), CONTINUOUS, TARGET)[2]
 
 
 MODELS = ("logistic_regression", "random_forest", "boosting_depth", "boosting_leaf")

@@ -52,3 +52,19 @@ def test_queries_run_the_whole_fit(calls, name):
     assert got.get("k", 5) == 5
     if name == "search_trials":
         assert got["trials"] == 30 and got["methods"] == ("none", "rfe", "pca", "kpca")
+
+
+@pytest.mark.parametrize("name", ["cluster_elbow", "cluster_profile"])
+def test_clusters_are_searched_whole(monkeypatch, name):
+    signature = inspect.signature(modeling.clustering.segment)
+
+    def stop(*args, **options):
+        bound = signature.bind(*args, **options)
+        bound.apply_defaults()
+        raise Stop(bound.arguments)
+
+    monkeypatch.setattr(modeling, "churn_base", lambda spark, sf: None)
+    monkeypatch.setattr(modeling.clustering, "segment", stop)
+    with pytest.raises(Stop) as error:
+        load()[0][name](None, SF)
+    assert list(error.value.args[0]["ks"]) == list(range(2, 11)) and error.value.args[0]["n_init"] == 10
