@@ -5,6 +5,8 @@ The data stay distributed; only matrices of feature (or landmark) size reach the
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
@@ -21,7 +23,11 @@ from retentia.functions.expr import named
 from retentia.operators.stages import _Settings
 from retentia.session import fit_width
 
+log = logging.getLogger(__name__)
+
 METHODS = ("none", "rfe", "pca", "kpca", "lda")
+# Rows that may become landmarks of kernel PCA in one round.
+KERNEL_BATCH = 256
 
 
 class LinearProjection(_Settings, Transformer):
@@ -41,18 +47,18 @@ class LinearProjection(_Settings, Transformer):
 
 
 class KernelMap(_Settings, Transformer):
-    """settings: {input, output, kernel, gamma, degree, coef0, landmarks, basis}."""
+    """settings: {input, output, kernel, gamma, degree, coef0, landmarks, basis, offset}; output is kernel x basis - offset."""
 
     def _transform(self, df):
         s = self.value
-        landmarks, basis = np.array(s["landmarks"]), np.array(s["basis"])
+        landmarks, basis, offset = np.array(s["landmarks"]), np.array(s["basis"]), np.array(s["offset"])
 
         @pandas_udf(ArrayType(DoubleType()))
         def mapped(x: pd.Series) -> pd.Series:
             if not len(x):
                 return pd.Series([], dtype=object)
             k = kernel_matrix(np.stack(x.to_numpy()), landmarks, s["kernel"], s["gamma"], s["degree"], s["coef0"])
-            return pd.Series(list(k @ basis))
+            return pd.Series(list(k @ basis - offset))
 
         return df.withColumn(s["output"], array_to_vector(mapped(vector_to_array(named(s["input"])))))
 
@@ -69,6 +75,14 @@ def kernel_matrix(a, b, kernel: str, gamma: float, degree: int, coef0: float) ->
     raise ValueError(f"unknown kernel {kernel!r}")
 
 
+def kernel_diagonal(x, kernel: str, gamma: float, degree: int, coef0: float) -> np.ndarray:
+    """The kernel of each row with itself."""
+    square = (x * x).sum(1)
+    if kernel == "rbf":
+        return np.ones(len(x))
+    return (gamma * square + coef0) ** degree if kernel == "poly" else (square > 0).astype(float)
+
+
 def _width(df: DataFrame, col: str) -> int:
     return df.select(F.size(vector_to_array(named(col)))).first()[0]
 
@@ -132,30 +146,119 @@ def fit_lda(df: DataFrame, col: str, target: str, n: int, out: str = "reduced")
     return PipelineModel([LinearProjection(settings)])
 
 
+def _whitening(marks: np.ndarray, options: tuple) -> np.ndarray:
+    """Kernel values against the landmarks times this have the kernel as their inner product."""
+    values, vectors = np.linalg.eigh(kernel_matrix(marks, marks, *options))
+    kept = values > max(values.max(), 0) * 1e-10
+    return vectors[:, kept] / np.sqrt(values[kept])
+
+
+def _left_out(rows: DataFrame, marks: np.ndarray, white: np.ndarray, options: tuple, floor: float) -> list:
+    """The rows (x, r) that the landmarks represent worst: r, at least `floor`, is the part of k(x, x) they miss."""
+
+    def worst(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.stack(pdf["x"].to_numpy())
+            r = kernel_diagonal(x, *options)
+            if len(marks):
+                r = r - ((kernel_matrix(x, marks, *options) @ white) ** 2).sum(1)
+            some = pdf.assign(r=r)[r > floor].sort_values(["r", "h"], ascending=[False, True])
+            yield some.head(KERNEL_BATCH)
+
+    found = rows.mapInPandas(worst, "x array<double>, h long, r double")
+    return found.orderBy(F.desc("r"), "h").limit(KERNEL_BATCH).collect()
+
+
+def _independent(x: np.ndarray, marks: np.ndarray, white: np.ndarray, options: tuple, floor: float, most: float) -> np.ndarray:
+    """Those of the rows x that add to the span of the landmarks, by pivoted Cholesky steps, `most` at most."""
+    left = kernel_matrix(x, x, *options)
+    if len(marks):
+        part = kernel_matrix(x, marks, *options) @ white
+        left = left - part @ part.T
+    taken = []
+    while len(taken) < min(len(x), most):
+        i = int(np.argmax(np.diag(left)))
+        if left[i, i] <= floor:
+            break
+        taken.append(i)
+        left = left - np.outer(left[:, i], left[i]) / left[i, i]
+    return x[taken]
+
+
+def _mapped_moments(rows: DataFrame, marks: np.ndarray, white: np.ndarray, options: tuple) -> np.ndarray:
+    """Sum over all rows of (1, z) (1, z)', z being the mapped row; one line of it per Spark row."""
+
+    def partial(batches):
+        total = 0
+        for pdf in batches:
+            if len(pdf):
+                z = kernel_matrix(np.stack(pdf["x"].to_numpy()), marks, *options) @ white
+                z = np.hstack([np.ones((len(z), 1)), z])
+                total = total + z.T @ z
+        if not np.isscalar(total):
+            yield pd.DataFrame({"i": np.arange(len(total), dtype="int32"), "line": [r.tobytes() for r in total]})
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        line = np.sum([np.frombuffer(b) for b in pdf["line"]], axis=0)
+        return pd.DataFrame({"i": pdf["i"].iloc[:1], "line": [line.tobytes()]})
+
+    schema = "i int, line binary"
+    lines = rows.mapInPandas(partial, schema).groupBy("i").applyInPandas(added, schema).collect()
+    return np.array([np.frombuffer(r.line) for r in sorted(lines, key=lambda r: r.i)])
+
+
 def fit_kpca(
     df: DataFrame, col: str, n: int, kernel: str = "rbf", gamma: float | None = None, degree: int = 3,
-    coef0: float = 1.0, landmarks: int = 256, key: str | None = None, out: str = "reduced",
+    coef0: float = 1.0, landmarks: int | None = None, key: str | None = None, out: str = "reduced", tolerance: float = 1e-4,
 ) -> PipelineModel:
-    """Kernel PCA by the Nystroem map: exact when the rows are no more than the landmarks.
+    """Kernel PCA of all rows, on a kernel basis grown until it represents every row.
 
-    Landmarks are the first rows in a hash order, the map whitens their kernel matrix, and
-    ordinary PCA runs on the mapped rows. The kernel matrix is landmarks squared, on the driver.
+    Each round asks all rows which the landmarks represent worst, and makes those that are independent
+    landmarks too, until no row misses more than `tolerance` of the mean k(x, x) (or, if `landmarks` is given,
+    there are so many). What the basis leaves of the kernel matrix then has at most that share of its trace. Kernels
+    of finite rank (poly, cosine) are exact, and so is any kernel when all rows become landmarks. The covariance of
+    the mapped rows is summed over all rows; matrices of landmarks squared are on the driver.
     """
     order = F.xxhash64(named(key)) if key else F.xxhash64(vector_to_array(named(col)))
-    rows = df.select(vector_to_array(named(col)).alias("x"), order.alias("h")).orderBy("h").limit(landmarks).collect()
-    marks = np.unique(np.array([r.x for r in rows]), axis=0)
-    gamma = 1.0 / marks.shape[1] if gamma is None else gamma
-    values, vectors = np.linalg.eigh(kernel_matrix(marks, marks, kernel, gamma, degree, coef0))
-    kept = values > max(values.max(), 0) * 1e-10
-    basis = vectors[:, kept] / np.sqrt(values[kept])
-    step = KernelMap(
+    width = _width(df, col)
+    options = (kernel, float(1.0 / width if gamma is None else gamma), int(degree), float(coef0))
+    most = float("inf") if landmarks is None else landmarks
+    marks, white = np.zeros((0, width)), np.zeros((0, 0))
+    rows = df.select(vector_to_array(named(col)).alias("x"), order.alias("h")).persist()
+
+    def diagonal(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({"d": kernel_diagonal(np.stack(pdf["x"].to_numpy()), *options)})
+
+    try:
+        mean, top = rows.mapInPandas(diagonal, "d double").agg(F.avg("d"), F.max("d")).first()
+        while len(marks) < most:
+            worst = _left_out(rows, marks, white, options, tolerance * mean)
+            more = _independent(np.array([r.x for r in worst]).reshape(-1, width), marks, white, options, top * 1e-10, most - len(marks))
+            if not len(more):
+                break
+            marks = np.vstack([marks, more])
+            white = _whitening(marks, options)
+        log.info("kernel PCA: %d landmarks", len(marks))
+        moments = _mapped_moments(rows, marks, white, options)
+    finally:
+        rows.unpersist()
+    total, sums = moments[0, 0], moments[0, 1:]
+    covariance = moments[1:, 1:] / total - np.outer(sums, sums) / total**2
+    _, vectors = np.linalg.eigh(covariance)
+    directions = vectors[:, ::-1][:, :n]
+    basis = white @ directions
+    # A component's sign is free; fix it by its largest weight.
+    sign = np.where(basis[np.abs(basis).argmax(0), np.arange(basis.shape[1])] > 0, 1, -1)
+    return PipelineModel([KernelMap(
         {
-            "input": col, "output": f"{out}_k", "kernel": kernel, "gamma": float(gamma), "degree": int(degree),
-            "coef0": float(coef0), "landmarks": marks.tolist(), "basis": basis.tolist(),
+            "input": col, "output": out, "kernel": kernel, "gamma": options[1], "degree": options[2], "coef0": options[3],
+            "landmarks": marks.tolist(), "basis": (basis * sign).tolist(), "offset": (sums / total @ directions * sign).tolist(),
         }
-    )
-    pca = fit_pca(step.transform(df), f"{out}_k", min(n, int(kept.sum())), out)
-    return PipelineModel([step, *pca.stages])
+    )])
 
 
 def fit_rfe(
@@ -203,6 +306,6 @@ def fit_reducer(df: DataFrame, spec: dict, col: str, target: str, names: list[st
         n = min(spec.get("n_components", 12), len(names))
         options = {k: spec[k] for k in ("kernel", "gamma", "degree", "coef0", "landmarks") if k in spec}
         model = fit_kpca(df, col, n, key=key, **options)
-        return model.stages, "reduced", [f"kpc_{i}" for i in range(model.stages[-1].getK())]
+        return model.stages, "reduced", [f"kpc_{i}" for i in range(len(model.stages[-1].value["offset"]))]
     model = fit_lda(df, col, target, spec.get("n_components", 15))
     return model.stages, "reduced", [f"lda_{i}" for i in range(len(model.stages[0].value["rows"]))]

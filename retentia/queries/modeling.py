@@ -124,7 +124,7 @@ def kernel_query(kernel):
     @query(f"kernel_pca_{kernel}")
     def _(spark, sf):
         rows = vectors(spark, sf)
-        out = reduction.fit_kpca(rows, "features", 3, kernel, key=KEY, landmarks=128).transform(rows)
+        out = reduction.fit_kpca(rows, "features", 3, kernel, key=KEY).transform(rows)
         return out.select(KEY, *[vector_to_array("reduced")[i].alias(f"kpc_{i}") for i in range(3)])
 
 

@@ -3,9 +3,13 @@
 import inspect
 from unittest.mock import Mock
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 
 from retentia.operators.models import PipelineSpec
+from retentia.operators.reduction import fit_kpca, kernel_matrix
 from retentia.plans import training
 from retentia.queries import load, modeling
 
@@ -68,3 +72,19 @@ def test_clusters_are_searched_whole(monkeypatch, name):
     with pytest.raises(Stop) as error:
         load()[0][name](None, SF)
     assert list(error.value.args[0]["ks"]) == list(range(2, 11)) and error.value.args[0]["n_init"] == 10
+
+
+@pytest.mark.parametrize("kernel", ["rbf", "poly", "cosine"])
+def test_kernel_pca_of_all_rows(spark, kernel):
+    """More rows than one batch of landmarks, with a rare far group; equal to the eigenvectors of the whole kernel matrix."""
+    x = np.random.default_rng(3).normal(size=(900, 5))
+    x[:8] = x[:8] * 0.1 + 6
+    df = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(x)], ["id", "features"])
+    out = fit_kpca(df, "features", 3, kernel, key="id").transform(df)
+    got = np.array([r.z for r in out.select("id", vector_to_array("reduced").alias("z")).orderBy("id").collect()])
+    k = kernel_matrix(x, x, kernel, 0.2, 3, 1.0)
+    k = k - k.mean(0) - k.mean(1)[:, None] + k.mean()
+    values, vectors = np.linalg.eigh(k)
+    for j in range(3):
+        want = vectors[:, -1 - j] * np.sqrt(values[-1 - j])
+        assert min(np.abs(got[:, j] - want).max(), np.abs(got[:, j] + want).max()) < 1e-3 * np.abs(want).max()
