@@ -3,7 +3,8 @@
 Points are assigned to the nearest of a few pivots and cut into blocks of bounded size. A point
 first looks inside its own block, which bounds its k-th distance, and then only visits blocks of
 cells that the triangle inequality cannot rule out. Blocks and visitors are both sliced, so no
-task ever holds more than a few thousand of either, however many points share a cell.
+task ever holds more than a few thousand of either, however many points share a cell. Copies of a
+point are searched once and told apart by id afterwards.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retentia.session import cut_lineage
+from retentia.session import cut_lineage, lookup
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 8192
@@ -56,9 +57,35 @@ def _matrix(column) -> np.ndarray:
 def nearest(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, nn, d, rank): the k nearest other points of each point.
 
-    `points` has a unique long `id` and an array<double> `x`. Ties go to the smaller id, except
-    that a point with k copies of itself in its block looks no further.
+    `points` has a unique long `id` and an array<double> `x`. Ties go to the smaller id, whatever
+    the blocks. Equal points are searched once: their smallest id stands for them, its neighbours
+    are other values, and the ids of each value are filled in by id.
     """
+    # -0.0 and 0.0 are the same place.
+    points = points.select("id", F.transform("x", lambda v: v + F.lit(0.0)).alias("x"))
+    # Each map task sends k + 1 ids a value at most: Spark limits the groups before it deals them out.
+    first = points.withColumn("number", F.row_number().over(Window.partitionBy("x").orderBy("id"))).where(F.col("number") <= k + 1)
+    members = cut_lineage(first.withColumn("rep", F.min("id").over(Window.partitionBy("x"))))
+    values = members.where("number = 1").select("id", "x")
+    near = _nearest_values(values, k, block_rows).select(F.col("id").alias("rep"), F.col("nn").alias("other"), "d")
+    others = members.where(F.col("number") <= k).select(F.col("rep").alias("other"), F.col("id").alias("nn"))
+    far = near.join(others, "other").select("rep", "nn", "d")
+    own = members.select("rep", F.col("id").alias("nn"), F.lit(0.0).alias("d"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("d", "nn"))
+    kept = far.unionByName(own).withColumn("place", place).where(F.col("place") <= k + 1)
+    lists = kept.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("d", "nn"))).alias("near"))
+    lists = cut_lineage(lists.join(values.withColumnRenamed("id", "rep"), "rep").select("x", "near"))
+    # Values with more copies than a block are few and come to their points; the others are joined by value.
+    many = points.groupBy("x").count().where(F.col("count") > block_rows).select("x")
+    hot = lookup(lists.join(many, "x", "left_semi"))
+    found = points.join(hot, "x").unionByName(points.join(hot.select("x"), "x", "left_anti").join(lists, "x"))
+    # Left out of its list, a point has k others there.
+    found = found.select("id", F.slice(F.filter("near", lambda c: c["nn"] != F.col("id")), 1, k).alias("near"))
+    return found.select("id", F.posexplode("near").alias("at", "c")).select("id", "c.nn", "c.d", (F.col("at") + 1).alias("rank"))
+
+
+def _nearest_values(points: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """(id, nn, d, rank): the k nearest of points that all differ; ties go to the smaller id."""
     n = points.count()
     pivots = _pivots(points, min(MAX_PIVOTS, max(1, ceil(n / block_rows))))
     placed = cut_lineage(_place(points, pivots))
@@ -69,7 +96,7 @@ def nearest(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFram
         ).collect()
     }
     parts = {c: ceil(r.n / block_rows) for c, r in cells.items()}
-    # A point's block inside its cell is a hash of its id: copies of one point spread evenly.
+    # A point's block inside its cell is a hash of its id.
     # The table of parts has one row per pivot, at most MAX_PIVOTS.
     part_table = points.sparkSession.createDataFrame([(int(c), m) for c, m in parts.items()], "cell int, parts int")
     blocked = placed.join(F.broadcast(part_table), "cell").select(
@@ -153,9 +180,8 @@ def _visits(seekers: DataFrame, pivots: np.ndarray, cells: dict, parts: dict) ->
             home = d[np.arange(len(d)), at]
             # A point of another cell is nearer to that cell's pivot than to ours.
             nearest_possible = np.maximum(np.maximum(d - hi, lo - d), (d - home[:, None]) / 2)
-            # The margin keeps equal distances; with r = 0 nothing can be closer.
-            r = pdf["r"].to_numpy()[:, None]
-            row, cell = np.nonzero((r > 0) & (nearest_possible <= r * (1 + 1e-9)))
+            # The margin keeps equal distances.
+            row, cell = np.nonzero(nearest_possible <= pdf["r"].to_numpy()[:, None] * (1 + 1e-9))
             take = np.repeat(np.arange(len(row)), size[cell])
             part = np.concatenate([np.arange(s) for s in size[cell]]) if len(row) else np.array([], dtype=int)
             row, cell = row[take], cell[take]
