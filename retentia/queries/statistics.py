@@ -272,18 +272,19 @@ p_query("kruskal_wallis_p", "kruskal_wallis", "kruskal", ["feature", "grouping"]
 TUKEY = [("Balance", "Geography"), ("EstimatedSalary", "NumOfProducts"), ("CreditScore", "CardType")]
 
 
-@query(
-    "tukey_hsd",
-    union(
+def tukey_sql(pairs, g1="x.g", g2="y.g"):
+    return union(
         f"""SELECT '{c}' AS feature, '{g}' AS grouping, CAST(x.g AS VARCHAR) AS group1, CAST(y.g AS VARCHAR) AS group2,
         round(y.m - x.m, 4) AS mean_difference, round(abs(y.m - x.m) / sqrt(ssw / (p.n - k) / 2 * (1.0 / x.n + 1.0 / y.n)), 6) AS q,
         k AS groups, p.n - k AS dof
         FROM (SELECT {g} AS g, avg({c}) AS m, count({c}) AS n FROM churn_base WHERE {c} IS NOT NULL AND {g} IS NOT NULL GROUP BY 1) x
-        JOIN (SELECT {g} AS g, avg({c}) AS m, count({c}) AS n FROM churn_base WHERE {c} IS NOT NULL AND {g} IS NOT NULL GROUP BY 1) y ON x.g < y.g,
+        JOIN (SELECT {g} AS g, avg({c}) AS m, count({c}) AS n FROM churn_base WHERE {c} IS NOT NULL AND {g} IS NOT NULL GROUP BY 1) y ON {g1} < {g2},
         {anova_parts_sql(c, g)} p"""
-        for c, g in TUKEY
-    ),
-)
+        for c, g in pairs
+    )
+
+
+@query("tukey_hsd", tukey_sql(TUKEY))
 def _(spark, sf):
     b = churn_base(spark, sf)
     every = h.tukey(b, [c for c, _ in TUKEY], [g for _, g in TUKEY], alpha=None)
@@ -291,9 +292,15 @@ def _(spark, sf):
     return rounded(every.where(wanted), 6, mean_difference=4)
 
 
+# Every pair of groups of every column and grouping; groups are in the order of their names.
+@query("tukey_hsd_all", tukey_sql([(c, g) for c in NUMERIC for g in GROUPINGS if c != g], "CAST(x.g AS VARCHAR)", "CAST(y.g AS VARCHAR)"))
+def _(spark, sf):
+    return rounded(h.tukey(churn_base(spark, sf), NUMERIC, GROUPINGS, alpha=None).where("feature <> grouping"), 6, mean_difference=4)
+
+
 @query("tukey_hsd_significant")
 def _(spark, sf):
-    return h.with_p(h.tukey(churn_base(spark, sf), ["EstimatedSalary", "PointEarned"], ["NumOfProducts", "Tenure"]), "tukey")
+    return h.with_p(h.tukey(churn_base(spark, sf), NUMERIC, GROUPINGS).where("feature <> grouping"), "tukey")
 
 
 @query(
