@@ -2,10 +2,10 @@
 
 from retentia.llm import (
     op1_wavelet, op2_language, op3_quality, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii,
-    op12_collocations, op13_licenses,
+    op11_repair, op12_collocations, op13_licenses,
 )
 
-MODULES = [op1_wavelet, op2_language, op3_quality, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii, op12_collocations, op13_licenses]
+MODULES = [op1_wavelet, op2_language, op3_quality, op4_decontaminate, op5_near_dedup, op6_warc, op7_balltree, op8_token_counts, op9_pieces, op10_pii, op11_repair, op12_collocations, op13_licenses]
 
 
 def load():
