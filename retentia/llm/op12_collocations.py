@@ -19,9 +19,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from retentia.llm.common import table, written
@@ -39,44 +42,17 @@ MAP_BITS = 26
 # Bits of one row of Spark's bitmap functions.
 ROW_BITS = 32_768
 PIECE = re.compile(rb"[.,;:!?\x0A-\x0D]")
-# Bytes of distinct pieces, tokens and words after which a task hands on what it has gathered.
-GROUP_BYTES, GROUP_TOKENS, GROUP_WORDS = 4_000_000, 2_000_000, 400_000
+# Bytes of distinct pieces after which a task hands on their chunks; it counts four times as many at once.
+GROUP_BYTES = 4_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Words:
-    """Numbers of words, apart for each lang; number 0 is the empty word between chunks."""
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, apart for each lang."""
+    import xxhash
 
-    def __init__(self):
-        self.spelling, self.lang, self._hashes = [b""], [None], [0]
-        self._by_lang: dict[str, _Numbers] = {}
-
-    def numbers(self, lang: str, tokens: list[bytes]) -> np.ndarray:
-        if lang not in self._by_lang:
-            self._by_lang[lang] = _Numbers(self, lang)
-        return np.fromiter(map(self._by_lang[lang].__getitem__, tokens), np.int64, len(tokens))
-
-    def hashes(self) -> np.ndarray:
-        return np.array(self._hashes, np.uint64)
-
-    def __len__(self):
-        return len(self.spelling)
-
-
-class _Numbers(dict):
-    def __init__(self, words: Words, lang: str):
-        import xxhash
-
-        super().__init__({b"": 0})
-        self.words, self.lang, self.hash = words, lang, xxhash.xxh64_intdigest
-        self.seed = xxhash.xxh32_intdigest(lang.encode())
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words.spelling)
-        self.words.spelling.append(word)
-        self.words.lang.append(self.lang)
-        self.words._hashes.append(self.hash(word, self.seed))
-        return number
+    seed, digest = xxhash.xxh32_intdigest(lang.encode()), xxhash.xxh64_intdigest
+    return np.fromiter((digest(w, seed) for w in words), np.uint64, len(words))
 
 
 def phrase_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -130,8 +106,7 @@ def dictionary(documents: DataFrame, trigger: int = TRIGGER, longest: int = LONG
         held = 0
 
         def handed():
-            words = Words()
-            names, tokens, numbers, sizes, weights, of_lang = list(counts), [], [], [], [], []
+            names, tokens, hashes, sizes, weights, of_lang = list(counts), [], [], [], [], []
             for k, counter in enumerate(counts.values()):
                 before = len(tokens)
                 for piece, n in counter.items():
@@ -141,8 +116,9 @@ def dictionary(documents: DataFrame, trigger: int = TRIGGER, longest: int = LONG
                         sizes.append(len(own))
                         weights.append(n)
                         of_lang.append(k)
-                numbers.append(words.numbers(names[k], tokens[before:]))
-            starts, ends, owned = chunk_bounds(np.array(sizes, np.int64), words.hashes()[np.concatenate(numbers)], trigger, longest)
+                known = pa.array(tokens[before:], pa.binary()).dictionary_encode()
+                hashes.append(word_hashes(names[k], known.dictionary.to_pylist())[known.indices.to_numpy()])
+            starts, ends, owned = chunk_bounds(np.array(sizes, np.int64), np.concatenate(hashes), trigger, longest)
             of = np.searchsorted(np.cumsum(sizes), starts, side="right").tolist()
             return pa.RecordBatch.from_arrays(
                 [
@@ -170,92 +146,116 @@ def dictionary(documents: DataFrame, trigger: int = TRIGGER, longest: int = LONG
     return rows.mapInArrow(parsed, "lang string, chunk binary, owned int, freq long").groupBy("lang", "chunk", "owned").agg(F.sum("freq").alias("freq"))
 
 
-def count_phrases(chunks: DataFrame, n: int, frequent: bytes | None = None, map_bits: int = MAP_BITS) -> DataFrame:
-    """lang, phrase, place (in the map), f of the phrases of n words whose shorter phrases are marked in `frequent`."""
-    marked = None if frequent is None else chunks.sparkSession.sparkContext.broadcast(frequent)
+@dataclass(frozen=True)
+class Count:
+    """Phrases of n words to count: by their words, or by their hash; those in the map, or whose parts of n - 1 words are."""
+
+    n: int
+    spelled: bool = True
+    known: str | None = None  # None, "own" or "parts"
+
+
+def count_block(lang: str, chunks: pa.Array, owned: np.ndarray, freq: np.ndarray, wanted: list[Count], bits: np.ndarray | None, shift: np.uint64) -> Iterator[pa.RecordBatch]:
+    """Counts of one lang's chunks: lang, n, phrase (null where it is not spelled), hash, f."""
+    split = pc.split_pattern(chunks, " ")
+    sizes = np.diff(split.offsets.to_numpy())
+    words = split.flatten().dictionary_encode()
+    ids = words.indices.to_numpy().astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(ids)) - np.repeat(starts, sizes)
+    left, own, weight = np.repeat(sizes, sizes) - place, place < np.repeat(owned, sizes), np.repeat(freq, sizes)
+    hashes = word_hashes(lang, words.dictionary.to_pylist())[ids]
+
+    def marked(n):
+        places = (phrase_hashes(hashes, n) >> shift).astype(np.int64)
+        return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+    for count in wanted:
+        n = count.n
+        size = max(0, len(ids) - n + 1)
+        at = own[:size] & (left[:size] >= n)
+        if count.known == "own":
+            at &= marked(n)
+        elif count.known == "parts":
+            parts = marked(n - 1)
+            at &= parts[:size] & parts[1 : 1 + size]
+        at = np.flatnonzero(at)
+        hashed = phrase_hashes(hashes, n)[at]
+        if count.spelled:
+            key = ids[at]
+            for k in range(1, n):
+                key = (np.unique(key, return_inverse=True)[1] if k > 1 else key) << 32 | ids[at + k]
+        else:
+            key = hashed
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        total = np.add.reduceat(weight[at][order], first) if len(first) else np.zeros(0, np.int64)
+        one = order[first]
+        phrase = pa.nulls(len(one), pa.binary())
+        if count.spelled:
+            parts = [words.dictionary.take(pa.array(ids[at[one] + k])) for k in range(n)]
+            phrase = pc.binary_join_element_wise(*parts, b" ") if n > 1 else parts[0]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(one), np.int64))), pa.array(np.full(len(one), n, np.int32)), phrase,
+                pa.array(hashed[one].view(np.int64)), pa.array(total),
+            ],
+            ["lang", "n_words", "phrase", "hash", "f"],
+        )
+
+
+def count_phrases(chunks: DataFrame, wanted: list[Count], frequent: bytes | None = None, map_bits: int = MAP_BITS) -> DataFrame:
+    """lang, n_words, phrase, hash, f of the wanted phrases; `frequent` is the map that `known` asks."""
+    sent = None if frequent is None else chunks.sparkSession.sparkContext.broadcast(frequent)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if marked is None else np.frombuffer(marked.value, np.uint8)
-        shift = np.uint64(64 - map_bits)
-        words, numbers, weights, owns, held = Words(), [], [], [], 0
+        bits = None if sent is None else np.frombuffer(sent.value, np.uint8)
+        held, size = [], 0
 
         def handed():
-            a = np.concatenate([*numbers, np.zeros(MAX_WORDS, np.int64)])
-            weight, own = np.concatenate(weights), np.concatenate(owns)
-            hashes = words.hashes()[a]
-            at = own.copy()
-            for k in range(n):
-                at &= a[k : k + len(own)] > 0
-            if bits is not None:
-                places = (phrase_hashes(hashes, n - 1) >> shift).astype(np.int64)
-                known = (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
-                at &= known[: len(own)] & known[1 : 1 + len(own)]
-            at = np.flatnonzero(at)
-            key = a[at]
-            for k in range(1, n):
-                key = np.unique(key, return_inverse=True)[1].astype(np.int64) << 32 | a[at + k]
-            order = np.argsort(key, kind="stable")
-            first = np.flatnonzero(np.diff(key[order], prepend=-1))
-            total = np.add.reduceat(weight[at][order], first) if len(first) else np.zeros(0, np.int64)
-            one = at[order[first]]
-            spelled = [[words.spelling[i] for i in a[one + k].tolist()] for k in range(n)]
-            place = (phrase_hashes(hashes, n) >> shift)[one].astype(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([words.lang[i] for i in a[one].tolist()], pa.string()), pa.array(list(map(b" ".join, zip(*spelled))), pa.binary()),
-                    pa.array(place, pa.int64()), pa.array(total, pa.int64()),
-                ],
-                ["lang", "phrase", "place", "f"],
-            )
-
-        for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
+            block = pa.Table.from_batches(held).combine_chunks()
+            langs = block.column("lang").combine_chunks().dictionary_encode()
             codes = langs.indices.to_numpy()
             order = np.argsort(codes, kind="stable")
             edges = np.searchsorted(codes[order], np.arange(len(langs.dictionary) + 1)).tolist()
             for lang, low, high in zip(langs.dictionary.to_pylist(), edges, edges[1:]):
-                part = batch.take(pa.array(order[low:high]))
-                tokens = b"  ".join(part.column("chunk").to_pylist()).split(b" ") + [b""]
-                own_numbers = words.numbers(lang, tokens)
-                ends = np.flatnonzero(own_numbers == 0)
-                sizes = np.diff(ends, prepend=-1)
-                place = np.arange(len(tokens)) - np.repeat(ends - sizes + 1, sizes)
-                numbers.append(own_numbers)
-                weights.append(np.repeat(part.column("freq").to_numpy(), sizes))
-                owns.append(place < np.repeat(part.column("owned").to_numpy(), sizes))
-                held += len(tokens)
-            if held > GROUP_TOKENS or len(words) > GROUP_WORDS:
-                yield handed()
-                words, numbers, weights, owns, held = Words(), [], [], [], 0
+                part = block.take(pa.array(order[low:high]))
+                chunk, owned, freq = (part.column(c).combine_chunks() for c in ("chunk", "owned", "freq"))
+                yield from count_block(lang, chunk, owned.to_numpy(), freq.to_numpy(), wanted, bits, np.uint64(64 - map_bits))
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("chunk").nbytes
+            if size > GROUP_BYTES * 4:
+                yield from handed()
+                held, size = [], 0
         if held:
-            yield handed()
+            yield from handed()
 
-    found = chunks.mapInArrow(counted, "lang string, phrase binary, place long, f long")
-    return found.groupBy("lang", "phrase", "place").agg(F.sum("f").alias("f"))
+    found = chunks.mapInArrow(counted, "lang string, n_words int, phrase binary, hash long, f long")
+    return found.groupBy("lang", "n_words", "phrase", "hash").agg(F.sum("f").alias("f"))
 
 
 def marks(counts: DataFrame, map_bits: int = MAP_BITS) -> bytes:
     """The map of the phrases in `counts`: 2^map_bits bits, joined from rows of ROW_BITS bits."""
-    rows = counts.groupBy((F.floor(F.col("place") / ROW_BITS)).cast("int").alias("row")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("place") + 1)).alias("bits")
-    )
+    place = F.shiftrightunsigned("hash", 64 - map_bits)
+    rows = counts.groupBy(F.floor(place / ROW_BITS).cast("int").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias("bits"))
     out = bytearray((1 << map_bits) // 8)
     for row in rows.collect():  # at most 2^map_bits / ROW_BITS rows of 4 KB
-        out[row["row"] * ROW_BITS // 8 : row["row"] * ROW_BITS // 8 + ROW_BITS // 8] = row["bits"]
+        out[row["row"] * ROW_BITS // 8 : (row["row"] + 1) * ROW_BITS // 8] = row["bits"]
     return bytes(out)
 
 
 def frequent_phrases(chunks: DataFrame, min_count: int = MIN_COUNT, map_bits: int = MAP_BITS) -> DataFrame:
     """lang, n_words, phrase, f of all phrases of 1 to 4 words that occur at least `min_count` times."""
-    levels, known = [], None
-    for n in range(1, MAX_WORDS + 1):
-        level = written(count_phrases(chunks, n, known, map_bits).where(F.col("f") >= min_count), f"op12-phrases{n}")
-        levels.append(level.select("lang", F.lit(n).alias("n_words"), F.col("phrase").cast("string").alias("phrase"), "f"))
-        known = marks(level, map_bits) if n < MAX_WORDS else None
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+    known, found = None, []
+    # Pairs of frequent words are many: they are counted by hash first, and spelled where that count is high enough.
+    for k, wanted in enumerate(([Count(1)], [Count(2, False, "parts")], [Count(2, True, "own"), Count(3, True, "parts")], [Count(4, True, "parts")])):
+        level = written(count_phrases(chunks, wanted, known, map_bits).where(F.col("f") >= min_count), f"op12-phrases{k}")
+        found.append(level.where("phrase IS NOT NULL").select("lang", "n_words", F.col("phrase").cast("string").alias("phrase"), "f"))
+        known = marks(level.where(F.col("n_words") == k + 1), map_bits) if k < 3 else None
+    return reduce(DataFrame.unionByName, found)
 
 
 def exact(value: str | int) -> Column:

@@ -53,7 +53,6 @@ def test_counts(spark, min_count, top):
 def test_small_groups(spark, monkeypatch):
     """Tasks that hand on after every text, and a map so small that most places are taken."""
     monkeypatch.setattr(mine, "GROUP_BYTES", 1)
-    monkeypatch.setattr(mine, "GROUP_TOKENS", 1)
     chunks = mine.dictionary(frame(spark, ROWS), trigger=3, longest=5)
     got = mine.frequent_phrases(chunks, 2, 15).select("lang", "n_words", "phrase", "f").collect()
     want = Counter()
