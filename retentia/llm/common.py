@@ -46,13 +46,61 @@ def without(documents: DataFrame, drops: DataFrame, label: str) -> DataFrame:
     return documents.join(listed, same, "left_anti")
 
 
-class Bounded(dict):
-    """A per-process cache that starts anew when it is full, so that its memory is bounded."""
+# What a dictionary entry takes besides the characters of its key and value.
+ENTRY_BYTES = 200
 
-    def __init__(self, limit: int):
+
+class Made(dict):
+    """Values made when first asked for, in two generations of at most half of `limit` bytes each.
+
+    When the younger is full it becomes the older, and the older goes: what is asked for again and again stays. Long
+    keys are not kept.
+    """
+
+    LONGEST_KEY = 256
+
+    def __init__(self, make, limit: int):
         super().__init__()
-        self.limit = limit
+        self.make, self.half, self.size, self.old = make, limit // 2, 0, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.LONGEST_KEY:
+            self.size += ENTRY_BYTES + len(key)
+            if self.size > self.half:
+                self.old, self.size = dict(self), ENTRY_BYTES + len(key)
+                self.clear()
+            self[key] = value
+        return value
+
 
-    def room(self, n: int) -> None:
-        if len(self) + n > self.limit:
-            self.clear()
+class Generations:
+    """The same for keys that are looked up many at once: `young` holds all keys last asked for, once they are added."""
+
+    def __init__(self, limit: int):
+        self.half, self.size, self.young, self.old = limit // 2, 0, {}, {}
+
+    def missing(self, asked: list[list]) -> list:
+        """Distinct keys of the lists that have to be added; those of the older generation come over."""
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        new = list(set().union(*asked).difference(self.young))
+        self.size += ENTRY_BYTES * len(new) + sum(map(len, new))
+        if self.old:
+            again = [key for key in new if key in self.old]
+            self.young.update(zip(again, map(self.old.__getitem__, again)))
+            new = [key for key in new if key not in self.old] if again else new
+        return new
+
+
+_HELD: dict = {}
+
+
+def held(key, make):
+    """One object per process, the one asked for last: a worker that goes on to another operator gives the memory back."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retentia.llm.common import Bounded, table
+from retentia.llm.common import Made, table
 from retentia.llm.pretokens import text_groups
 
 KINDS = ("email", "ip", "card", "phone")
@@ -173,7 +173,8 @@ EDGE = ".,;:!?\"'<>"
 L2 = 0.02
 STEPS = 250
 FORBIDDEN = -1e4
-CACHE_ENTRIES = 200_000
+# Bytes of a task's table of token scores: a row of them takes about 500.
+CACHE_BYTES = 24_000_000
 # Tokens longer than this share their features' shape beyond it; the spans stay whole.
 SHAPE_CHARS = 40
 
@@ -325,14 +326,10 @@ class Finder:
 
     def __init__(self, crf: Crf):
         self.crf = crf
-        self.cache: Bounded = Bounded(CACHE_ENTRIES)
+        self.cache = Made(self.crf.emission, CACHE_BYTES)
 
     def _scores(self, token: str) -> np.ndarray:
-        found = self.cache.get(token)
-        if found is None:
-            self.cache.room(1)
-            found = self.cache[token] = self.crf.emission(token)
-        return found
+        return self.cache[token]
 
     def _stretches(self, text: str) -> Iterator[list[tuple[int, int]]]:
         """Token spans of each stretch to decode."""
@@ -476,7 +473,10 @@ def find_personal_data(documents: DataFrame, crf: Crf | None = None) -> DataFram
 
 
 def redact_documents(documents: DataFrame, crf: Crf | None = None) -> DataFrame:
-    """`documents` with all spans replaced in the text, n_chars brought up to date; null texts stay null."""
+    """`documents` with all spans replaced in the text, n_chars brought up to date; null texts stay null.
+
+    Each row is worked on by itself: null ids and repeated rows stay as they are.
+    """
     crf = crf or Crf.train(parse_labelled(LABELLED))
     place = documents.columns.index("text")
     names = documents.columns
@@ -484,13 +484,12 @@ def redact_documents(documents: DataFrame, crf: Crf | None = None) -> DataFrame:
     def redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(crf)
         for batch in batches:
-            new = []
-            for _, texts in text_groups(batch.column(place)):
-                new += [redact(t, every) for t, (_, every) in zip(texts, finder.find(texts))]
-            null = batch.column(place).is_null().to_pylist()
-            texts = pa.array([None if gone else t for t, gone in zip(new, null)], pa.string())
-            columns = [texts if k == place else batch.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            for first, texts in text_groups(batch.column(place)):
+                part = batch.slice(first, len(texts))
+                new = [redact(t, every) for t, (_, every) in zip(texts, finder.find(texts))]
+                null = part.column(place).is_null().to_pylist()
+                made = pa.array([None if gone else t for t, gone in zip(new, null)], pa.string())
+                yield pa.RecordBatch.from_arrays([made if k == place else part.column(k) for k in range(len(names))], names)
 
     out = documents.mapInArrow(redacted, documents.schema)
     return out.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in names else out

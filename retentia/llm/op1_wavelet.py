@@ -3,7 +3,8 @@
 A shard is a self-contained byte string: document table, then one bit-plane per bit of the largest id, each in
 compressed blocks with the number of ones before every block. Rank and select on the planes give token access,
 counts and occurrence lookup while only the touched blocks are decompressed. Shards are rows of a Parquet table
-in ascending document order, so that Spark's writers commit them on whatever store is shared.
+in ascending document order, so that Spark's writers commit them on whatever store is shared: reading one token
+loads its shard's bytes (a few MB) and decompresses only the blocks on its way.
 
 Defined results: a null text is empty and has the end id alone; null doc_ids sort first; rows that repeat a
 doc_id are ordered by text; an empty table writes no shard. Other columns are not read. A document is never
@@ -123,7 +124,7 @@ class WaveletShard:
         for k in range(bits - 1, -1, -1):
             bit = ((row >> row.dtype.type(k)) & row.dtype.type(1)).view(row.dtype).astype(bool)
             planes.append(Plane.pack(bit))
-            row = np.concatenate([row[~bit], row[bit]])
+            row = np.concatenate([row.take(np.flatnonzero(~bit)), row.take(np.flatnonzero(bit))])
         parts = [
             _squeeze(np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes()),
             _squeeze(np.array([d is None for d in doc_ids], np.uint8).tobytes()),
@@ -139,8 +140,8 @@ class WaveletShard:
         for k, plane in enumerate(reversed(self.planes)):
             bit = plane.all()
             out = np.empty_like(row)
-            out[~bit] = row[: plane.zeros]
-            out[bit] = row[plane.zeros :] | row.dtype.type(1 << k)
+            out[np.flatnonzero(~bit)] = row[: plane.zeros]
+            out[np.flatnonzero(bit)] = row[plane.zeros :] | row.dtype.type(1 << k)
             row = out
         return row
 

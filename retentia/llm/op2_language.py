@@ -214,15 +214,19 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame, model: LanguageModel) -> DataFrame:
-    """Rows of `documents` whose language is not rejected, all columns as they are."""
+    """Rows of `documents` whose language is not rejected, all columns as they are.
+
+    Each row is judged by its own text: null ids and repeated rows are kept or go like any other; a null text goes.
+    """
     held = documents.sparkSession.sparkContext.broadcast(model)
     place = documents.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(held.value)
         for batch in batches:
-            stay = [not r[2] for _, texts in text_groups(batch.column(place)) for r in predictor.predict(texts)]
-            yield batch.filter(pa.array(stay, pa.bool_()))
+            for first, texts in text_groups(batch.column(place)):
+                stay = pa.array([not r[2] for r in predictor.predict(texts)], pa.bool_())
+                yield batch.slice(first, len(texts)).filter(stay)
 
     return documents.mapInArrow(kept, documents.schema)
 

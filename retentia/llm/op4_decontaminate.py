@@ -1,8 +1,9 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Normalised windows of the benchmark items form a hash set. Every document window is hashed in the JVM and
-probes that set; a hit counts only after its words equal the item's. No document text is shuffled: only
-window hits and one small row per document are.
+Normalised windows of the benchmark items form a hash set. Every word of a document is hashed once; the hashes of
+the first and last word of each window are looked up in a map of 2^18 bits, a constant of the plan, and only windows
+that are marked there probe the set. A hit counts only after its words equal the item's. No document text is
+shuffled: only window hits and one small row per document are.
 
 Defined results: null or wordless texts have no words and no hits. Items without words or id are ignored,
 repeated items count once. Rows repeating a doc_id each get their own result. Other columns are not read.
@@ -18,7 +19,9 @@ WINDOW = 10
 # ASCII characters between the words of a lower-cased text, and of one as it stands.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# A window row takes about 300 bytes: beyond this many the set is joined by shuffle instead.
+# Bits of the map of first and last words.
+MAP_BITS = 18
+# A window row and each item id in it take about 300 bytes: beyond this many the set is joined by shuffle instead.
 MAX_BROADCAST_WINDOWS = 200_000
 
 
@@ -39,14 +42,36 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def _place(hashes: str, first: str, last: str) -> str:
+    """SQL: where the map marks a window, from the hashes of its first and last word."""
+    return f"CAST(shiftrightunsigned({hashes}[{first}] ^ shiftleft({hashes}[{last}], 1), {64 - MAP_BITS}) AS int)"
+
+
+def window_map(known: DataFrame) -> str:
+    """SQL: the map as a constant array of longs; at most 2^MAP_BITS / 64 of them reach the driver."""
+    place = known.select("len", F.expr("transform(window, x -> xxhash64(x))").alias("h")).select(F.expr(_place("h", "0", "len - 1")).alias("p"))
+    rows = place.groupBy(F.expr("p div 64").alias("i")).agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("bits")).collect()
+    bits = [0] * ((1 << MAP_BITS) // 64)
+    for r in rows:
+        bits[r["i"]] = r["bits"]
+    return f"from_json('{bits}', 'array<bigint>')"
+
+
 def hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, text_hash, at, len, items: verified occurrences, `at` counted in words from 1."""
     known = written(windows, "op4-windows")
     lens = sorted(r["len"] for r in known.select("len").distinct().collect())  # at most WINDOW values
     docs = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
+    docs = docs.withColumn("h", F.expr("transform(w, x -> xxhash64(x))"))
+    marks = window_map(known) if lens else ""
+
+    def marked(n):
+        place = _place("h", "i - 1", f"i + {n - 2}")
+        return f"shiftright({marks}[{place} div 64], {place} % 64) & 1 = 1"
+
     of_len = [
         F.expr(
-            f"if(size(w) < {n}, array(), transform(sequence(1, size(w) - {n - 1}),"
+            f"if(size(w) < {n}, array(), transform(filter(sequence(1, size(w) - {n - 1}), i -> {marked(n)}),"
             f" i -> struct({n} AS len, i AS at, xxhash64(slice(w, i, {n})) AS hash)))"
         )
         for n in lens
@@ -55,7 +80,7 @@ def hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
         none = docs.where("false").select("doc_id", "text_hash", F.lit(0).alias("at"), F.lit(0).alias("len"))
         return none.withColumn("items", F.lit(None).cast(known.schema["items"].dataType))
     probes = docs.select("doc_id", "text_hash", "w", F.inline(F.concat(*of_len) if len(of_len) > 1 else of_len[0]))
-    if known.count() <= MAX_BROADCAST_WINDOWS:
+    if known.agg(F.sum(F.size("items") + 1)).first()[0] <= MAX_BROADCAST_WINDOWS:
         known = F.broadcast(known)
     return probes.join(known, ["len", "hash"]).where("slice(w, at, len) = window").select("doc_id", "text_hash", "at", "len", "items")
 

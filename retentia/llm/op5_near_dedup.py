@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retentia.llm.common import Bounded, table, without, written
+from retentia.llm.common import Made, held, table, without, written
 from retentia.llm.pretokens import text_groups
 
 SHINGLE = 3
@@ -43,15 +43,16 @@ SMALL_BUCKET = 32
 # Members of one side of a cell of a large bucket.
 BLOCK = 256
 TESTED_AT_ONCE = 64
+HELD_SHINGLES = 1_000_000
 # Ids take 16 bytes each in a broadcast relation; more are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
-WORD_CACHE = 200_000
+# Bytes of a worker's table of word hashes.
+WORD_BYTES = 48_000_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _RNG = np.random.default_rng(20250)
 _A = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-_WORDS: Bounded = Bounded(WORD_CACHE)
 
 
 def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -61,13 +62,8 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    new = [w for w in words if w not in _WORDS]
-    if len(_WORDS) + len(new) > _WORDS.limit:
-        _WORDS.clear()
-        new = words
-    for w in new:
-        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
-    ids = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = held("op5-words", lambda: Made(xxhash.xxh3_64_intdigest, WORD_BYTES))
+    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     length = min(size, len(words))
     mixed = np.full(len(words) - length + 1, length, np.uint64)
     for k in range(length):
@@ -162,12 +158,14 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
     """The (a, b) whose full shingle sets reach the threshold."""
 
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: Bounded = Bounded(64)
+        # Rows of one text come one after the other; a few sets of at most HELD_SHINGLES together are kept.
+        sets: dict = {}
 
         def of(name, text):
             key = (name, len(text), hash(text))
             if key not in sets:
-                sets.room(1)
+                if sum(map(len, sets.values())) > HELD_SHINGLES or len(sets) == 64:
+                    sets.clear()
                 sets[key] = shingle_set(text, size)
             return sets[key]
 

@@ -115,7 +115,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("block_bytes", F.when(F.col("complete"), F.substring(F.col("value").cast("binary"), (F.col("body") + 1).cast("int"), F.col("length").cast("int"))))
         .withColumn("payload", _payload(F.col("block_bytes")))
         .select("file", "block", "at", "bytes", "head", "length", "body", "complete",
-                F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("size"))
+                F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("size"), F.sha2("value", 256).alias("mark"))
     )
     rows = written(parsed, "op6-candidates")
     # Offsets: bytes of the blocks before, then of the chunks before within the block.
@@ -175,14 +175,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     whole = records.where("complete")
     split = records.where("NOT complete")
     if split.take(1):
-        # Payloads with magic lines inside: their chunks are read again and put together.
+        # Payloads with magic lines inside: their chunks are read again, found by the digest of their text, which does
+        # not depend on how either read splits the files, and put together by offset.
         order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
         marked = found.where("offset >= 0").join(records.select("file", "offset", F.lit(True).alias("is_record")), ["file", "offset"], "left")
-        owner = marked.withColumn("owner", F.max(F.when(F.col("is_record"), F.col("offset"))).over(order)).select("file", "block", "at", "owner")
-        parts = owner.join(split.select("file", F.col("offset").alias("owner")), ["file", "owner"])
+        owner = marked.withColumn("owner", F.max(F.when(F.col("is_record"), F.col("offset"))).over(order)).select("file", "offset", "owner", "mark")
+        parts = written(owner.join(split.select("file", F.col("offset").alias("owner")), ["file", "owner"]), "op6-parts")
+        again = chunks(spark, path).select(F.sha2("value", 256).alias("mark"), "value").join(parts.select("mark").distinct(), "mark", "left_semi")
+        texts = again.groupBy("mark").agg(F.min("value").alias("value"))
+        # A chunk that the second read does not find is an error, never a record less.
+        value = F.coalesce("value", F.raise_error(F.concat(F.lit("a chunk has changed between reads of "), F.col("file"))).cast("string"))
         text = (
-            chunks(spark, path).join(parts, ["file", "block", "at"]).groupBy("file", "owner")
-            .agg(F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("parts"))
+            parts.join(texts, "mark", "left").groupBy("file", "owner")
+            .agg(F.array_sort(F.collect_list(F.struct("offset", value.alias("value")))).alias("parts"))
             .select("file", F.col("owner").alias("offset"), F.array_join("parts.value", MAGIC).alias("value"))
         )
         body = F.octet_length(F.substring_index("value", END, 1)) + len(END)

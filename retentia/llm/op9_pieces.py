@@ -1,12 +1,14 @@
 """SentencePiece models on the tokenizers library: encoding, decoding and parity.
 
 The model protobuf is read field by field; normaliser, white-space marker, piece scores (unigram) or merges (BPE)
-and byte fallback are rebuilt as a tokenizers pipeline that encodes and decodes batches on several threads.
+and byte fallback are rebuilt as a tokenizers pipeline that encodes and decodes batches on several threads. Ids and
+texts are the pipeline's. The sentencepiece library encodes the same input beside it, and decodes what the pipeline
+does not decode to the text again; where the two differ, its result replaces the pipeline's, and `differ` says in how
+many words and texts that happened.
 
 When no piece has the marker behind another character, no piece crosses the start of a word, and words encode
-independently: then each distinct word is encoded once per worker (bounded cache). Parity is verified where ids
-are made: whatever enters the cache, or a whole text if words can't be separated, is also encoded by the
-sentencepiece library, whose ids count on a difference; `differ` says how often that happened.
+independently: then each distinct word is encoded, and each distinct stretch of ids from a marker on is decoded, once
+per worker (tables bounded by bytes). Other models encode and decode whole texts.
 
 Defined results: a null text is empty and has no ids; rows may repeat; other columns are not read. A text holding
 the marker character itself, or characters a normaliser changes, encodes as in sentencepiece but is not `lossless`.
@@ -16,24 +18,31 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retentia.llm.common import Bounded, table
+from retentia.llm.common import Generations, table
 from retentia.llm.pretokens import shared, text_groups
 
 MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
-THREADS = 2
-CACHE_ENTRIES = 250_000
+# Bytes of each of a worker's two tables, of words and of stretches.
+TABLE_BYTES = 110_000_000
+# A space and the word behind it with the spaces before that; the spaces at the end.
+WORD = re.compile(" ( *[^ ]+| *$)")
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+UNKNOWN_SURFACE = " \u2047 "
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -87,13 +96,14 @@ class ModelFile:
                 normal = dict(proto_fields(value))
         self.kind = trainer.get(3, UNIGRAM)
         self.byte_fallback = bool(trainer.get(35, 0))
+        self.unk_surface = trainer.get(44, UNKNOWN_SURFACE.encode()).decode()
         self.unk = self.types.index(UNKNOWN)
         self.charsmap = normal.get(2, b"")
         self.dummy_prefix = bool(normal.get(3, 1))
         self.squeeze = bool(normal.get(4, 1))
         self.escape = bool(normal.get(5, 1))
 
-    def tokenizer(self):
+    def tokenizer(self, strip_prefix: bool = True):
         """The tokenizers pipeline that encodes and decodes like the model."""
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
@@ -122,20 +132,24 @@ class ModelFile:
         if self.dummy_prefix:
             steps.append(normalizers.Prepend(MARKER))
         made.normalizer = normalizers.Sequence(steps)
-        back = [decoders.Replace(MARKER, " "), decoders.ByteFallback(), decoders.Fuse()]
-        made.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * self.dummy_prefix)
+        back = [decoders.Replace(self.pieces[self.unk], self.unk_surface), decoders.Replace(MARKER, " "), decoders.ByteFallback(), decoders.Fuse()]
+        made.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * (self.dummy_prefix and strip_prefix))
         return made
 
 
 class PieceCoder:
-    def __init__(self, path: str, threads: int = THREADS):
+    def __init__(self, path: str, threads: int | None = None):
+        """`threads` of the library: by default as many as Spark gives a task (spark.task.cpus)."""
+        task = TaskContext.get()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
+        os.environ.setdefault("RAYON_NUM_THREADS", str(threads or (task.cpus() if task else 1)))
         import sentencepiece
 
         with open(path, "rb") as file:
             self.model = ModelFile(file.read())
         self.library = self.model.tokenizer()
+        # The same decoder without its last step, which takes the prefix off the front of a text.
+        self.inner = self.model.tokenizer(strip_prefix=False)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=self.model.data)
         # Words are independent if pieces hold the marker only in front, and no normaliser looks across words.
         usable = [p for p, t in zip(self.model.pieces, self.model.types) if t in (NORMAL, USER)]
@@ -143,114 +157,123 @@ class PieceCoder:
             self.model.dummy_prefix and not self.model.charsmap and not self.model.squeeze and USER not in self.model.types
             and not any(MARKER in p.lstrip(MARKER) for p in usable)
         )
-        # What the pipeline's decoder makes of each piece; None where it depends on more than the piece.
-        self.spelling = [
-            bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARKER, " ").encode() if t in (NORMAL, USER) else None
-            for p, t in zip(self.model.pieces, self.model.types)
-        ]
-        self.cache: Bounded = Bounded(CACHE_ENTRIES)
-        self.differ = 0
-
-    def _verified(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts by the pipeline, checked against sentencepiece."""
-        ours = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        self.starts = np.array([p.startswith(MARKER) for p in self.model.pieces])
+        # Ids by word, texts by stretch of ids.
+        self.ids, self.texts = Generations(TABLE_BYTES), Generations(TABLE_BYTES)
+        # Words on which the libraries differ.
+        self.odd: set[str] = set()
+
+    def _encoded(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
+        """(ids, whether the libraries differ) of whole texts."""
+        ours = [own.ids for own in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self.reference.encode(texts, num_threads=1)
-        out = []
-        for own, known in zip(ours, theirs):
-            self.differ += own.ids != known
-            out.append(np.array(known, np.uint32))
-        return out
-
-    def words(self, text: str) -> list[str]:
-        """Words with the spaces before them; the text starts with the space of the prefix."""
-        parts = text.replace(MARKER, " ").split(" ")
-        words, spaces = [], 1
-        for k, part in enumerate(parts):
-            if part:
-                words.append(" " * (spaces - 1) + part)
-                spaces = 0
-            spaces += 1
-        # Spaces at the end are a word of their own; the pipeline's prefix stands for one of them.
-        return words + [" " * (spaces - 2)] if spaces > 1 else words
+        if ours == theirs:
+            return ours, [False] * len(texts)
+        return theirs, [a != b for a, b in zip(ours, theirs)]
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        """Words with the spaces before them; the text starts with the space of the prefix, spaces at its end are a word."""
+        return WORD.findall(" " + text.replace(MARKER, " "))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
+        return self.encode_checked(texts)[0]
+
+    def encode_checked(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """(uint32 ids, words that differed) of each text."""
         if not self.by_word:
-            return self._verified(texts)
+            coded, odd = self._encoded(texts)
+            return [np.array(ids, "<u4") for ids in coded], list(map(int, odd))
         split = [self.words(t) if t else [] for t in texts]
-        new = list({w for words in split for w in words if w not in self.cache})
-        if len(self.cache) + len(new) > self.cache.limit:
-            self.cache.clear()
-            new = list({w for words in split for w in words})
-        for word, ids in zip(new, self._words_verified(new)):
-            self.cache[word] = ids.astype("<u4").tobytes()
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
-
-    def _words_verified(self, words: list[str]) -> list[np.ndarray]:
+        new = self.ids.missing(split)
+        coded, odd = self._words(new)
+        ends = list(accumulate(map(len, coded), initial=0))
+        data = np.fromiter(chain.from_iterable(coded), "<u4", ends[-1]).tobytes()
+        self.ids.young.update(zip(new, [data[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]))
+        self.odd.update(w for w, differs in zip(new, odd) if differs)
+        get = self.ids.young.__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split], [sum(w in self.odd for w in words) if self.odd else 0 for words in split]
+
+    def _words(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
         """A word's prefix marker stands for the space before it; the empty word is that marker alone."""
-        empty = np.array([self.model.pieces.index(MARKER)], np.uint32) if "" in words else None
-        coded = iter(self._verified([w for w in words if w]))
-        return [next(coded) if w else empty for w in words]
+        coded, odd = self._encoded([w for w in words if w])
+        if "" in words:
+            at = words.index("")
+            coded.insert(at, [self.model.pieces.index(MARKER)]), odd.insert(at, False)
+        return coded, odd
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
-        """Texts as the pipeline decodes them; ids outside plain pieces, and bytes that are no UTF-8, are left to it."""
-        out = []
-        for own in ids:
-            listed = own.tolist()
-            try:
-                text = b"".join([self.spelling[i] for i in listed]).decode()
-                out.append(text[1:] if self.model.dummy_prefix and text[:1] == " " else text)
-            except (TypeError, UnicodeDecodeError):
-                out.append(self.library.decode(listed, skip_special_tokens=False))
-        return out
-
-
-def encode_documents(documents: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array<int>), decoded, lossless, differ (texts or words that differed, on a group's first row) of every row."""
+        """Texts as the pipeline decodes them, of any ids."""
+        if not self.by_word:
+            return self.library.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+        cut = [self._stretches(own) for own in ids]
+        new = self.texts.missing(cut)
+        flat = np.frombuffer(b"".join(new), "<u4").tolist()
+        ends = list(accumulate((len(s) // 4 for s in new), initial=0))
+        self.texts.young.update(zip(new, self.inner.decode_batch([flat[a:b] for a, b in zip(ends, ends[1:])], skip_special_tokens=False)))
+        get = self.texts.young.__getitem__
+        out = ["".join(map(get, stretches)) for stretches in cut]
+        # The prefix of a text is taken off, as the pipeline's last step does.
+        return [t[1:] if t[:1] == " " else t for t in out]
+
+    def decode_checked(self, ids: list[np.ndarray], texts: list[str]) -> tuple[list[str], list[int]]:
+        """(text, whether it had to be replaced) of the ids of each text: what is not the text again, sentencepiece decodes too."""
+        back, odd = self.decode(ids), [0] * len(ids)
+        for k, (own, text) in enumerate(zip(back, texts)):
+            if own != text:
+                known = self.reference.decode(ids[k].tolist())
+                back[k], odd[k] = known, int(own != known)
+        return back, odd
+
+    def _stretches(self, ids: np.ndarray) -> list[bytes]:
+        """The ids from each piece with a marker up to the next, as bytes."""
+        ids = np.asarray(ids).astype("<u4")
+        edges = (np.flatnonzero(self.starts[ids]) * 4).tolist()
+        edges = [0, *edges] if len(ids) and (not edges or edges[0]) else edges
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(edges, [*edges[1:], len(data)])]
+
+
+def _coded(documents: DataFrame, path: str, schema: str, columns) -> DataFrame:
+    """doc_id and what `columns` makes of (texts, ids, decoded texts) of every row, and how often the libraries differed."""
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = shared(PieceCoder, path)
         for batch in batches:
             for first, texts in text_groups(batch.column("text")):
-                before = coder.differ
-                ids = coder.encode(texts)
-                names = batch.column("doc_id").slice(first, len(texts))
-                differ = pa.array([coder.differ - before] + [0] * (len(texts) - 1), pa.int64())
-                back = coder.decode(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        names, pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())), pa.array(back, pa.string()),
-                        pa.array([a == b for a, b in zip(texts, back)], pa.bool_()), differ,
-                    ],
-                    ["doc_id", "ids", "decoded", "lossless", "differ"],
-                )
+                ids, odd_words = coder.encode_checked(texts)
+                back, odd_texts = coder.decode_checked(ids, texts)
+                differ = pa.array([a + b for a, b in zip(odd_words, odd_texts)], pa.int64())
+                lossless = pa.array([a == b for a, b in zip(texts, back)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(texts)), *columns(ids, back), lossless, differ], names)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(coded, "doc_id long, ids array<int>, decoded string, lossless boolean, differ long")
+    return rows.mapInArrow(coded, schema)
+
+
+def encode_documents(documents: DataFrame, path: str, decoded: bool = True) -> DataFrame:
+    """doc_id, ids (array<int>), decoded (if wanted), lossless, differ of every row."""
+
+    def columns(ids, back):
+        listed = pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))
+        return [listed, pa.array(back, pa.string())] if decoded else [listed]
+
+    text = "decoded string, " if decoded else ""
+    return _coded(documents, path, f"doc_id long, ids array<int>, {text}lossless boolean, differ long", columns)
 
 
 def digest_documents(documents: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_ids, ids_crc32, decoded_sha256, lossless: what `encode_documents` gives, without the ids themselves."""
+    """doc_id, n_ids, ids_crc32, decoded_sha256, lossless, differ: what `encode_documents` gives, without the ids themselves."""
 
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = shared(PieceCoder, path)
-        for batch in batches:
-            for first, texts in text_groups(batch.column("text")):
-                ids = coder.encode(texts)
-                back = coder.decode(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, len(texts)), pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()),
-                        pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string()),
-                        pa.array([a == b for a, b in zip(texts, back)], pa.bool_()),
-                    ],
-                    ["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "lossless"],
-                )
+    def columns(ids, back):
+        return [
+            pa.array([len(i) for i in ids], pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()),
+            pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string()),
+        ]
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(digested, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, lossless boolean")
+    return _coded(documents, path, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, lossless boolean, differ long", columns)
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,27 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from retentia.llm.common import Made, held
+
 # Characters asked about: Latin blocks and general punctuation.
 CANDIDATES = [*range(0x00, 0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC, 0x2122]
-CACHE_ENTRIES = 400_000
+# Bytes of the tables of white-space words and of pre-tokens.
+WORD_BYTES, PRETOKEN_BYTES = 256_000_000, 96_000_000
 # Texts are worked on in groups of about so many characters, whatever the Arrow batch holds.
 GROUP_CHARS = 500_000
 
 
-class Merged(dict):
-    """Values of pre-tokens, made when first asked for; starts anew when it is full."""
-
-    def __init__(self, make, limit: int = CACHE_ENTRIES):
-        super().__init__()
-        self.make, self.limit = make, limit
-
-    def __missing__(self, token: str):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[token] = self.make(token)
-        return value
-
-
 class PretokenEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -51,7 +40,9 @@ class PretokenEncoder:
             [(self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.library.get_vocab_size())]
         )
         self._learn_characters(self._split_pattern(spec))
-        self.cache = Merged(self.merge)
+        self.cache = Made(self.merge, PRETOKEN_BYTES)
+        # No pre-token of a plain text reaches over white space, so that the ids of a word are those of its pre-tokens.
+        self.words = Made(lambda word: b"".join(map(self.cache.__getitem__, self.split(word))), WORD_BYTES)
 
     @staticmethod
     def _split_pattern(spec: dict) -> str | None:
@@ -117,8 +108,8 @@ class PretokenEncoder:
 
     def id_bytes(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        get = self.cache.__getitem__
-        return [b"".join(map(get, self.pretokens(t))) if self.plain(t) else self._whole(t) for t in texts]
+        get = self.words.__getitem__
+        return [b"".join(map(get, t.lower().split())) if self.plain(t) else self._whole(t) for t in texts]
 
 
 class PretokenCounter(PretokenEncoder):
@@ -127,7 +118,13 @@ class PretokenCounter(PretokenEncoder):
     def __init__(self, path: str):
         super().__init__(path)
         self.whole = self.prove_whole_tokens()
-        self.cache = Merged(lambda token: len(self.merge(token)) // 4)
+        self.cache = Made(lambda token: len(self.merge(token)) // 4, PRETOKEN_BYTES)
+        self.counted = Made(self._count_word, WORD_BYTES)
+
+    def _count_word(self, word: str) -> int:
+        tokens = self.split(word)
+        rest = [t for t in tokens if t not in self.whole]
+        return len(tokens) - len(rest) + sum(map(self.cache.__getitem__, rest))
 
     def prove_whole_tokens(self) -> frozenset[str]:
         """Pre-tokens the library itself encodes as the single token of that string."""
@@ -139,26 +136,13 @@ class PretokenCounter(PretokenEncoder):
         return frozenset(t for t in texts if self.split(t) == [t] and len(self._whole(t)) == 4)
 
     def counts(self, texts: list[str]) -> list[int]:
-        whole, get = self.whole, self.cache.__getitem__
-        out = []
-        for text in texts:
-            if self.plain(text):
-                tokens = self.pretokens(text)
-                rest = [t for t in tokens if t not in whole]
-                out.append(len(tokens) - len(rest) + sum(map(get, rest)))
-            else:
-                out.append(len(self._whole(text)) // 4)
-        return out
-
-
-_ENCODERS: dict = {}
+        get = self.counted.__getitem__
+        return [sum(map(get, t.lower().split())) if self.plain(t) else len(self._whole(t)) // 4 for t in texts]
 
 
 def shared(kind: type, path: str):
     """One encoder per process and file."""
-    if (kind, path) not in _ENCODERS:
-        _ENCODERS[kind, path] = kind(path)
-    return _ENCODERS[kind, path]
+    return held((kind.__name__, path), lambda: kind(path))
 
 
 def text_groups(texts, limit: int = GROUP_CHARS) -> Iterator[tuple[int, list[str]]]:

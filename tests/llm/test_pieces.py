@@ -36,7 +36,7 @@ def test_random_texts(text):
     assert ids[0].tolist() == coder.reference.encode(text)
     if "▁" not in text:
         assert coder.decode(ids) == [text]
-    assert coder.differ == 0
+    assert coder.encode_checked([text])[1] == [0] and coder.decode_checked(ids, [text]) == (coder.decode(ids), [0])
 
 
 def field(number, value):
@@ -63,8 +63,9 @@ def test_unigram_as_sentencepiece(tmp_path):
     coder = PieceCoder(unigram_model(tmp_path))
     assert not coder.by_word
     texts = ["abc", "ab c", " abcab  ca ", "aabbcc", "xyz a", "cab abc bca"]
-    assert [i.tolist() for i in coder.encode(texts)] == coder.reference.encode(texts)
-    assert coder.differ == 0
+    ids, differ = coder.encode_checked(texts)
+    assert [i.tolist() for i in ids] == coder.reference.encode(texts)
+    assert differ == [0] * len(texts) and coder.decode_checked(ids, texts) == (coder.reference.decode(coder.reference.encode(texts)), [0] * len(texts))
 
 
 def test_decode_as_the_pipeline():
@@ -91,8 +92,39 @@ def test_documents(spark):
     for i, t, *_ in rows:
         ids = coder.reference.encode(t or "")
         back = coder.reference.decode(ids)
-        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == (t or "")))
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == (t or ""), 0))
     assert sorted((tuple(r) for r in digest_documents(frame, PATH).collect()), key=key) == sorted(want, key=key)
     full = encode_documents(frame, PATH).collect()
     assert sum(r["differ"] for r in full) == 0 and sorted(len(r["ids"]) for r in full) == sorted(w[1] for w in want)
     assert digest_documents(spark.createDataFrame([], DOC), PATH).collect() == []
+
+
+def test_a_wrong_pipeline_is_seen():
+    """Merges lost from the rebuilt model, and a decoder that spells wrongly: counted, and sentencepiece's results are given."""
+    from tokenizers import decoders, models
+
+    coder = PieceCoder(PATH)
+    texts = ["hello world", "", "the other"]
+    fine = coder.encode_checked(texts)
+    assert fine[1] == [0, 0, 0]
+    broken = PieceCoder(PATH)
+    pieces = broken.model.pieces
+    broken.library.model = models.BPE(vocab={p: i for i, p in enumerate(pieces)}, merges=[], unk_token=pieces[broken.model.unk], byte_fallback=True, fuse_unk=True)
+    broken.inner.decoder = decoders.Sequence([decoders.Replace("▁", "_"), decoders.ByteFallback(), decoders.Fuse()])
+    ids, differ = broken.encode_checked(texts)
+    assert differ == [2, 0, 2] and [i.tolist() for i in ids] == [i.tolist() for i in fine[0]]
+    back, odd = broken.decode_checked(ids, texts)
+    assert back == texts and odd == [1, 0, 1]
+    assert broken.decode(ids) == ["_hello_world", "", "_the_other"]
+
+
+def test_small_tables(monkeypatch):
+    """Tables that start anew with every call give the same."""
+    from retentia.llm import op9_pieces
+
+    want = shared(PieceCoder, PATH).reference.encode(TEXTS)
+    monkeypatch.setattr(op9_pieces, "TABLE_BYTES", 1000)
+    coder = PieceCoder(PATH)
+    for _ in range(2):
+        ids = coder.encode(TEXTS)
+        assert [i.tolist() for i in ids] == want and coder.decode(ids) == coder.reference.decode(want)

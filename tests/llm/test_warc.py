@@ -60,6 +60,29 @@ def test_round_trip(spark, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_splits_differ_between_the_reads(spark, monkeypatch):
+    """Payloads with magic lines are read twice; the second read may split the files otherwise."""
+    from retentia.llm import op6_warc
+
+    path = scratch(spark, "warc")
+    write_warc(spark.createDataFrame(ROWS, PAGE).coalesce(1), path)
+    size, write = "spark.sql.files.maxPartitionBytes", op6_warc.written
+    before = spark.conf.get(size)
+
+    def then_smaller(df, label):
+        out = write(df, label)
+        if label == "op6-records":
+            spark.conf.set(size, "700")
+        return out
+
+    monkeypatch.setattr(op6_warc, "written", then_smaller)
+    spark.conf.set(size, "3000")
+    try:
+        assert ordered(got(read_warc(spark, path))) == ordered(wanted(ROWS))
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_files_are_plain_warc(spark):
     path = scratch(spark, "warc")
     write_warc(spark.createDataFrame(ROWS, PAGE).coalesce(1), path)
