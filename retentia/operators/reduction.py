@@ -261,16 +261,15 @@ def fit_kpca(
     )])
 
 
-def fit_rfe(
-    df: DataFrame, col: str, target: str, n: int, estimator: str = "random_forest", seed: int = 42, out: str = "reduced",
-    max_depth: int = 30, penalty: float = 1.0,
-) -> tuple[PipelineModel, list[int]]:
-    """Drop the weakest feature and refit until n are left; returns the kept positions too.
+def elimination(
+    df: DataFrame, col: str, target: str, n: int, estimator: str = "random_forest", seed: int = 42, max_depth: int = 30, penalty: float = 1.0
+) -> list[int]:
+    """Positions of the features in the order in which they are dropped: the weakest, refit, the next, until n are left.
 
     Trees grow to Spark's deepest level unless `max_depth` says less; logistic regression has the L2 `penalty`
     (1 / C) on unscaled features.
     """
-    left = list(range(_width(df, col)))
+    left, dropped = list(range(_width(df, col))), []
     data = df.select(named(col).alias("_all"), named(target).cast("double").alias("_y")).persist()
     narrow = fit_width(data)
     try:
@@ -283,9 +282,19 @@ def fit_rfe(
             else:
                 model = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=1000, regParam=penalty / rows, standardization=False).fit(cut)
                 weight = np.abs(model.coefficients.toArray())
-            left.pop(int(np.argmin(weight)))
+            dropped.append(left.pop(int(np.argmin(weight))))
     finally:
         data.unpersist()
+    return dropped
+
+
+def fit_rfe(
+    df: DataFrame, col: str, target: str, n: int, estimator: str = "random_forest", seed: int = 42, out: str = "reduced",
+    max_depth: int = 30, penalty: float = 1.0,
+) -> tuple[PipelineModel, list[int]]:
+    """Drop the weakest feature and refit until n are left; returns the kept positions too."""
+    dropped = elimination(df, col, target, n, estimator, seed, max_depth, penalty)
+    left = sorted(set(range(_width(df, col))) - set(dropped))
     return PipelineModel([VectorSlicer(inputCol=col, outputCol=out, indices=left)]), left
 
 

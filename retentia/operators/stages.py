@@ -87,25 +87,22 @@ class DataImputer(_Settings, Estimator):
     skipped with a warning. All medians come from one job, one more per grouping column.
     """
 
-    def _fit(self, df):
+    def specs(self, columns) -> list[dict]:
+        """The settings that apply to these columns, each with its grouping column as `by`."""
         specs = []
         for spec in self.value:
-            if spec["column"] not in df.columns:
+            if spec["column"] not in columns:
                 log.warning("imputer: column %s not found", spec["column"])
             elif spec["strategy"] not in ("median", "constant", "mode", "median_by_group"):
                 log.warning("imputer: unknown strategy %s", spec["strategy"])
             else:
-                specs.append({**spec, "by": spec.get("group_column", spec.get("group_by"))})
-        median_of = [s["column"] for s in specs if s["strategy"].startswith("median")]
-        mode_of = [s["column"] for s in specs if s["strategy"] == "mode"]
-        medians = quantile_map(df, median_of, [0.5]) if median_of else {}
-        most = modes(df, mode_of) if mode_of else {}
-        tables = {}
-        for by in sorted({s["by"] for s in specs if s["strategy"] == "median_by_group" and s["by"] in df.columns}):
-            targets = sorted({s["column"] for s in specs if s["strategy"] == "median_by_group" and s["by"] == by})
-            rows = quantiles(df, targets, [0.5], [by])
-            wide = rows.groupBy(named(by)).agg(*[F.max(F.when(F.col("feature") == t, F.col("quantile"))).alias(t) for t in targets])
-            tables[by] = cut_lineage(wide)
+                by = spec.get("group_column", spec.get("group_by"))
+                specs.append({**spec, "by": by if by in columns else None})
+        return specs
+
+    @staticmethod
+    def learned(specs: list[dict], medians: dict, most: dict) -> list[dict]:
+        """A model's settings from medians {column: {0.5: value}} and modes {column: value}."""
         learned = []
         for s in specs:
             column, fallback = s["column"], s.get("fallback_value")
@@ -114,12 +111,26 @@ class DataImputer(_Settings, Estimator):
             elif s["strategy"] == "mode":
                 fill = most.get(column)
             else:
-                fill = medians[column].get(0.5)
+                fill = medians.get(column, {}).get(0.5)
             entry = {"column": column, "fill": fallback if fill is None else fill}
-            if s["strategy"] == "median_by_group" and s["by"] in df.columns:
+            if s["strategy"] == "median_by_group" and s["by"]:
                 entry["by"] = s["by"]
             learned.append(entry)
-        return DataImputerModel(learned, tables)
+        return learned
+
+    def _fit(self, df):
+        specs = self.specs(df.columns)
+        median_of = [s["column"] for s in specs if s["strategy"].startswith("median")]
+        mode_of = [s["column"] for s in specs if s["strategy"] == "mode"]
+        medians = quantile_map(df, median_of, [0.5]) if median_of else {}
+        most = modes(df, mode_of) if mode_of else {}
+        tables = {}
+        for by in sorted({s["by"] for s in specs if s["strategy"] == "median_by_group" and s["by"]}):
+            targets = sorted({s["column"] for s in specs if s["strategy"] == "median_by_group" and s["by"] == by})
+            rows = quantiles(df, targets, [0.5], [by])
+            wide = rows.groupBy(named(by)).agg(*[F.max(F.when(F.col("feature") == t, F.col("quantile"))).alias(t) for t in targets])
+            tables[by] = cut_lineage(wide)
+        return DataImputerModel(self.learned(specs, medians, most), tables)
 
 
 class _ImputerWriter(DefaultParamsWriter):

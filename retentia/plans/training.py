@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 import logging
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
-from functools import reduce
+from time import perf_counter
 
-import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.expr import named
 from retentia.operators.metrics import METRICS, classification_metrics
-from retentia.operators.models import REDUCER_SPACES, SPACES, FittedPipeline, PipelineSpec, fit_pipeline
-from retentia.operators.sampling import stratified_folds, stratified_split
+from retentia.operators.folds import Folds
+from retentia.operators.models import DEFAULTS, LINEAR, REDUCER_SPACES, SPACES, FittedPipeline, PipelineSpec, fit_pipeline
+from retentia.operators.sampling import stratified_split
+from retentia.operators.tpe import TpeSampler
 from retentia.plans.preprocessing import BASE_FEATURES, IMPUTATION, LOG_COLUMNS, ROBUST_COLUMNS, STANDARD_COLUMNS
-from retentia.session import fit_width
+from retentia.session import cut_lineage, fit_width
 
 log = logging.getLogger(__name__)
 
@@ -47,24 +46,14 @@ def base_spec(model: str, **options) -> PipelineSpec:
 
 def cross_validate(
     df: DataFrame, key: str, target: str, spec: PipelineSpec, k: int = 5, threshold: float = DEFAULT_THRESHOLD,
-    seed: int = 42, parallelism: int = 5,
+    seed: int = 42, parallelism: int = 5, folds: Folds | None = None,
 ) -> DataFrame:
-    """(fold, five metrics). Folds fit side by side; their scores are evaluated in one job."""
-    cached = stratified_folds(df, key, target, k, seed, "fold").persist()
-    try:
-        folds = fit_width(cached)
-
-        def one(i):
-            return fit_pipeline(folds.where(F.col("fold") != i), key, target, spec).score(folds.where(F.col("fold") == i))
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            scored = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(k)))
-        every = reduce(DataFrame.unionByName, [s.select("fold", target, "p") for s in scored])
-        rows = classification_metrics(every, target, "p", threshold, ["fold"]).select((F.col("fold") + 1).alias("fold"), *METRICS)
-        found = rows.collect()  # k rows
-        return df.sparkSession.createDataFrame(found, rows.schema)
-    finally:
-        cached.unpersist()
+    """(fold, five metrics). The folds share their statistics, and with `folds` also what earlier fits of them made."""
+    folds = folds or Folds(df, key, target, spec, k, seed, spec.model in LINEAR, parallelism)
+    scored = folds.scores(spec, {**DEFAULTS[spec.model], **spec.params})
+    rows = classification_metrics(cut_lineage(scored), "y", "p", threshold, ["fold"]).select((F.col("fold") + 1).alias("fold"), *METRICS)
+    found = rows.collect()  # k rows
+    return df.sparkSession.createDataFrame(found, rows.schema)
 
 
 def summary(folds: DataFrame) -> dict[str, float]:
@@ -84,45 +73,36 @@ def holdout_evaluation(
     return fitted, scored, classification_metrics(scored, target, "p", threshold)
 
 
-def draw(space: dict, rng: np.random.Generator) -> dict:
-    """One random point of a typed parameter space."""
-    out = {}
-    for name, (kind, *bounds) in space.items():
-        if kind == "log_float":
-            out[name] = float(np.exp(rng.uniform(np.log(bounds[0]), np.log(bounds[1]))))
-        elif kind == "float":
-            out[name] = float(rng.uniform(*bounds))
-        elif kind == "int":
-            out[name] = int(rng.integers(bounds[0], bounds[1] + 1))
-        elif kind == "categorical":
-            out[name] = bounds[0][int(rng.integers(len(bounds[0])))]
-        else:
-            raise ValueError(f"unknown space type {kind!r}")
-    return out
-
-
 def search(
     df: DataFrame, key: str, target: str, spec: PipelineSpec, trials: int = 30, k: int = 5, seed: int = 42,
-    methods=("none", "rfe", "pca", "kpca"), space: dict | None = None,
+    methods=("none", "rfe", "pca", "kpca"), space: dict | None = None, sampler: TpeSampler | None = None,
 ) -> tuple[DataFrame, PipelineSpec, bool]:
     """(trial table, best spec, whether it beat the given one). Invalid draws are skipped.
 
-    The reducer is drawn together with the model's parameters.
+    The reducer is drawn together with the model's parameters, its own parameters after it. All trials run on the same
+    folds, whose prepared rows, elimination orders and oversampled rows are made once.
     """
-    rng = np.random.default_rng(seed)
+    sampler = sampler or TpeSampler(seed)
     space = SPACES[spec.model] if space is None else space
-    baseline = summary(cross_validate(df, key, target, spec, k, seed=seed))["cv_roc_auc_mean"]
+    folds = Folds(df, key, target, spec, k, seed, spec.model in LINEAR)
+    baseline = summary(cross_validate(df, key, target, spec, k, seed=seed, folds=folds))["cv_roc_auc_mean"]
     rows, best, best_auc = [(-1, "baseline", str(spec.params), spec.reducer["method"], baseline)], spec, baseline
+    if "rfe" in methods:
+        folds.elimination_orders(min(REDUCER_SPACES["rfe"]["n_features_to_select"][1], len(spec.features)))
     for t in range(trials):
-        params = draw(space, rng)
-        method = methods[int(rng.integers(len(methods)))]
-        reducer = {"method": method, **draw(REDUCER_SPACES[method], rng)}
+        start = perf_counter()
+        params = sampler.suggest_all(space)
+        method = sampler.suggest("reducer_method", ("categorical", list(methods)))
+        options = sampler.suggest_all(REDUCER_SPACES[method], "red_")
+        reducer = {"method": method, **{name.removeprefix("red_"): value for name, value in options.items()}}
         candidate = replace(spec, params={**spec.params, **params}, reducer=reducer)
         try:
-            auc = summary(cross_validate(df, key, target, candidate, k, seed=seed))["cv_roc_auc_mean"]
+            auc = summary(cross_validate(df, key, target, candidate, k, seed=seed, folds=folds))["cv_roc_auc_mean"]
         except ValueError as error:
             log.warning("trial %d skipped: %s", t, error)
             continue
+        log.info("trial %d: %s, area %.4f, %.1f s", t, method, auc, perf_counter() - start)
+        sampler.tell({**params, "reducer_method": method, **options}, auc)
         rows.append((t, "trial", str(params), method, auc))
         if auc > best_auc:
             best, best_auc = candidate, auc
