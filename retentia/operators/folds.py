@@ -7,8 +7,10 @@ own. Prepared, reduced and oversampled rows of all training sets are one table e
 
 from __future__ import annotations
 
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from threading import Lock
 
 import numpy as np
 from pyspark import inheritable_thread_target
@@ -105,7 +107,9 @@ class Folds:
 
     def __init__(self, df: DataFrame, key: str, target: str, spec, k: int = 5, seed: int = 42, linear: bool = True, parallelism: int = 5):
         self.key, self.spec, self.k, self.parallelism, self.spark = key, spec, k, parallelism, df.sparkSession
+        # Trials may run side by side: what one is making, the others wait for.
         self._made: dict = {}
+        self._locks: defaultdict = defaultdict(Lock)
         base = stratified_folds(df, key, target, k, seed, "fold").withColumnRenamed(target, "__y")
         base = cut_lineage(base)
         imputers = fit_imputers(base, [dict(s) for s in spec.imputation], "fold", k) if spec.imputation else []
@@ -153,18 +157,20 @@ class Folds:
 
     def elimination_orders(self, n: int, estimator: str = "random_forest") -> list[list[int]]:
         """Positions in the order in which they are dropped, down to n (or fewer, if that was asked for before)."""
-        known = self._made.get(("orders", estimator))
-        if known is None or len(self.spec.features) - len(known[0]) > n:
-            vectors = self.rows.where("NOT valid").withColumn("features", array_to_vector("x"))
-            known = self._each(lambda t: elimination(vectors.where(F.col("t") == t), "features", "y", n, estimator, self.spec.seed))
-            self._made["orders", estimator] = known
-        return known
+        with self._locks["orders", estimator]:
+            known = self._made.get(("orders", estimator))
+            if known is None or len(self.spec.features) - len(known[0]) > n:
+                vectors = self.rows.where("NOT valid").withColumn("features", array_to_vector("x"))
+                known = self._each(lambda t: elimination(vectors.where(F.col("t") == t), "features", "y", n, estimator, self.spec.seed))
+                self._made["orders", estimator] = known
+            return known
 
     def _projected(self, n: int) -> DataFrame:
         """Principal components of every training set from one job's moments."""
-        if "moments" not in self._made:
-            vectors = self.rows.where("NOT valid").withColumn("features", array_to_vector("x"))
-            self._made["moments"] = class_moments(vectors, "features", "t")
+        with self._locks["moments"]:
+            if "moments" not in self._made:
+                vectors = self.rows.where("NOT valid").withColumn("features", array_to_vector("x"))
+                self._made["moments"] = class_moments(vectors, "features", "t")
         centre, sums = self._made["moments"]
         maps = {}
         for t, (m, s, o) in sums.items():
@@ -188,7 +194,9 @@ class Folds:
         Kernel components depend on drawn kernels and are not asked for again: theirs are made anew.
         """
         name = tuple(sorted(reducer.items()))
-        if name not in self._made:
+        with self._locks[name]:
+            if name in self._made:
+                return self._made[name]
             rows = cut_lineage(self.reduced(reducer)) if reducer.get("method", "none") not in ("none", "rfe") else self.reduced(reducer)
             train = rows.where("NOT valid")
             made = smote_groups(train, "t", "id", self.spec.k_neighbours, self.spec.seed) if self.spec.oversample else train.select("t", "x", "y")
@@ -196,7 +204,7 @@ class Folds:
             if reducer.get("method") == "kpca":
                 return made
             self._made[name] = made
-        return self._made[name]
+            return made
 
     def _weighted(self, train: DataFrame, positive: float | None) -> DataFrame:
         if positive is not None:

@@ -86,8 +86,15 @@ def nearest(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFram
 
 def _nearest_values(points: DataFrame, k: int, block_rows: int) -> DataFrame:
     """(id, nn, d, rank): the k nearest of points that all differ; ties go to the smaller id."""
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, x = pdf["id"].to_numpy(), _matrix(pdf["x"])
+        return _closest(ids, x, ids, x, k)
+
     n = points.count()
-    pivots = _pivots(points, min(MAX_PIVOTS, max(1, ceil(n / block_rows))))
+    if n <= block_rows:
+        # One cell of one block, whatever its pivot.
+        return _best(points.groupBy(F.lit(0).alias("cell")).applyInPandas(own, "id long, nn long, d double"), k)
+    pivots = _pivots(points, min(MAX_PIVOTS, ceil(n / block_rows)))
     placed = cut_lineage(_place(points, pivots))
     cells = {
         r.cell: r
@@ -103,10 +110,6 @@ def _nearest_values(points: DataFrame, k: int, block_rows: int) -> DataFrame:
         "id", "x", "cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
     )
 
-    def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["id"].to_numpy(), _matrix(pdf["x"])
-        return _closest(ids, x, ids, x, k)
-
     # One block alone needs no visits.
     first = blocked.groupBy("cell", "part").applyInPandas(own, "id long, nn long, d double")
     if sum(parts.values()) == 1:

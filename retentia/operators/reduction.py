@@ -27,7 +27,7 @@ log = logging.getLogger(__name__)
 
 METHODS = ("none", "rfe", "pca", "kpca", "lda")
 # Rows that may become landmarks of kernel PCA in one round.
-KERNEL_BATCH = 256
+KERNEL_BATCH = 512
 
 
 class LinearProjection(_Settings, Transformer):
@@ -200,12 +200,15 @@ def _mapped_moments(rows: DataFrame, marks: np.ndarray, white: np.ndarray, optio
         if not np.isscalar(total):
             yield pd.DataFrame({"i": np.arange(len(total), dtype="int32"), "line": [r.tobytes() for r in total]})
 
-    def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        line = np.sum([np.frombuffer(b) for b in pdf["line"]], axis=0)
-        return pd.DataFrame({"i": pdf["i"].iloc[:1], "line": [line.tobytes()]})
+    def added(batches):
+        lines: dict = {}
+        for pdf in batches:
+            for i, line in zip(pdf["i"], pdf["line"]):
+                lines[i] = lines.get(i, 0) + np.frombuffer(line)
+        yield pd.DataFrame({"i": np.array(list(lines), "int32"), "line": [v.tobytes() for v in lines.values()]})
 
     schema = "i int, line binary"
-    lines = rows.mapInPandas(partial, schema).groupBy("i").applyInPandas(added, schema).collect()
+    lines = rows.mapInPandas(partial, schema).repartition("i").mapInPandas(added, schema).collect()
     return np.array([np.frombuffer(r.line) for r in sorted(lines, key=lambda r: r.i)])
 
 

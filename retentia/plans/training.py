@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from time import perf_counter
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,11 +78,13 @@ def holdout_evaluation(
 def search(
     df: DataFrame, key: str, target: str, spec: PipelineSpec, trials: int = 30, k: int = 5, seed: int = 42,
     methods=("none", "rfe", "pca", "kpca"), space: dict | None = None, sampler: TpeSampler | None = None,
+    at_once: int = 6,
 ) -> tuple[DataFrame, PipelineSpec, bool]:
     """(trial table, best spec, whether it beat the given one). Invalid draws are skipped.
 
     The reducer is drawn together with the model's parameters, its own parameters after it. All trials run on the same
-    folds, whose prepared rows, elimination orders and oversampled rows are made once.
+    folds, whose prepared rows, elimination orders and oversampled rows are made once. `at_once` trials are drawn and
+    run side by side; the sampler learns of them when all of these are done, so that results do not depend on speed.
     """
     sampler = sampler or TpeSampler(seed)
     space = SPACES[spec.model] if space is None else space
@@ -88,24 +92,37 @@ def search(
     baseline = summary(cross_validate(df, key, target, spec, k, seed=seed, folds=folds))["cv_roc_auc_mean"]
     rows, best, best_auc = [(-1, "baseline", str(spec.params), spec.reducer["method"], baseline)], spec, baseline
     if "rfe" in methods:
+        # Down to the fewest that a trial may ask for, once.
         folds.elimination_orders(min(REDUCER_SPACES["rfe"]["n_features_to_select"][1], len(spec.features)))
-    for t in range(trials):
+
+    def run(trial):
+        t, candidate, _ = trial
         start = perf_counter()
-        params = sampler.suggest_all(space)
-        method = sampler.suggest("reducer_method", ("categorical", list(methods)))
-        options = sampler.suggest_all(REDUCER_SPACES[method], "red_")
-        reducer = {"method": method, **{name.removeprefix("red_"): value for name, value in options.items()}}
-        candidate = replace(spec, params={**spec.params, **params}, reducer=reducer)
         try:
             auc = summary(cross_validate(df, key, target, candidate, k, seed=seed, folds=folds))["cv_roc_auc_mean"]
         except ValueError as error:
             log.warning("trial %d skipped: %s", t, error)
-            continue
-        log.info("trial %d: %s, area %.4f, %.1f s", t, method, auc, perf_counter() - start)
-        sampler.tell({**params, "reducer_method": method, **options}, auc)
-        rows.append((t, "trial", str(params), method, auc))
-        if auc > best_auc:
-            best, best_auc = candidate, auc
+            return None
+        log.info("trial %d: %s, area %.4f, %.1f s", t, candidate.reducer["method"], auc, perf_counter() - start)
+        return auc
+
+    with ThreadPoolExecutor(at_once) as pool:
+        for first in range(0, trials, at_once):
+            batch = []
+            for t in range(first, min(first + at_once, trials)):
+                params = sampler.suggest_all(space)
+                method = sampler.suggest("reducer_method", ("categorical", list(methods)))
+                options = sampler.suggest_all(REDUCER_SPACES[method], "red_")
+                reducer = {"method": method, **{name.removeprefix("red_"): value for name, value in options.items()}}
+                candidate = replace(spec, params={**spec.params, **params}, reducer=reducer)
+                batch.append((t, candidate, {**params, "reducer_method": method, **options}))
+            for (t, candidate, drawn), auc in zip(batch, pool.map(inheritable_thread_target(df.sparkSession)(run), batch)):
+                if auc is None:
+                    continue
+                sampler.tell(drawn, auc)
+                rows.append((t, "trial", str(candidate.params), candidate.reducer["method"], auc))
+                if auc > best_auc:
+                    best, best_auc = candidate, auc
     table = df.sparkSession.createDataFrame(rows, "trial int, kind string, params string, reducer string, cv_roc_auc double")
     return table, best, best is not spec
 
