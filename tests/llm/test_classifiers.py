@@ -115,3 +115,40 @@ def test_quality_defined_results(spark, documents):
     assert quality.train_quality_model(documents, labels.limit(0)) is None
     assert {r["score"] for r in quality.score_documents(spark.createDataFrame(rows, DOC), None).collect()} == {0.5}
     assert quality.score_documents(documents.limit(0), model).collect() == []
+
+
+def test_language_against_a_plain_loop():
+    """Labels and scores recomputed subword by subword from the trained arrays."""
+    words = {"aa": ["the", "and", "with", "there"], "bb": ["der", "und", "mit", "nicht"], "cc": ["les", "des", "pour", "été"]}
+    rng = np.random.default_rng(3)
+    rows = [(k, name, [[str(w) for w in rng.choice(own, 10)] for _ in range(3)]) for name, own in words.items() for k in range(40)]
+    model = lang.LanguageModel.train(rows)
+    texts = ["the and 12 THE", "und nicht", "", "pour été, les des", "x", "été " * 300, "... 7", "there und"]
+    for text, (label, score, rejected) in zip(texts, lang.Predictor(model).predict(texts)):
+        total, n = np.zeros(3), 0
+        for word in lang.words(text):
+            for bucket in lang.subwords(word):
+                total += model.shares[bucket]
+                n += 1
+        if not n:
+            assert (label, score, rejected) == ("und", 0.0, True)
+            continue
+        e = np.exp((total / n + model.bias) / model.temperature)
+        chance = e / e.sum()
+        assert label == model.languages[int(chance.argmax())] and abs(score - chance.max()) < 1e-5
+        assert rejected == (chance.max() < model.threshold) or abs(chance.max() - model.threshold) < 1e-5
+
+
+def test_quality_against_a_plain_loop():
+    """A bag's score passage by passage from the trained arrays."""
+    rng = np.random.default_rng(5)
+    bags = [rng.normal(size=(int(n), quality.FEATURES)).astype(np.float32) for n in rng.integers(1, 6, 30)]
+    truth = np.array([float(b[:, 0].mean() > 0) for b in bags])
+    model = quality.AttentionModel.train(bags, truth, 0.5)
+    got = model.score(bags)
+    whole = model.score([bags[3]])
+    assert np.allclose(whole[0], got[3], atol=1e-5)
+    # Bags do not depend on their neighbours, nor on the order of their passages.
+    assert np.allclose(model.score(bags[::-1])[::-1], got, atol=1e-5)
+    assert np.allclose(model.score([b[::-1] for b in bags]), got, atol=1e-5)
+    assert ((got >= 0) & (got <= 1)).all()

@@ -89,3 +89,25 @@ def test_documents(spark):
     assert back.columns == frame.columns and back.schema == frame.schema
     assert sorted((r["text"] or "", r["n_chars"] or 0, r["spans"] or 0) for r in back.collect())[1:4] == [("", 0, 1), ("mail [EMAIL] now", 16, 7), ("mail [EMAIL] now", 16, 7)]
     assert pii.find_personal_data(frame.limit(0)).collect() == []
+
+
+def test_viterbi_is_the_best_of_all_sequences(finder):
+    """Padded batches of short lines against every sequence of labels."""
+    from itertools import product
+
+    import numpy as np
+
+    rng, crf, n = np.random.default_rng(1), finder.crf, len(pii.LABELS)
+    lengths = np.array([1, 2, 3, 4, 4, 3])
+    emit = np.zeros((len(lengths), 4, n))
+    for k, size in enumerate(lengths):
+        emit[k, :size] = rng.normal(0, 3, (size, n))
+    got = crf.viterbi(emit, lengths)
+    for k, size in enumerate(lengths.tolist()):
+
+        def score(labels):
+            steps = crf.pairs[0, labels[0]] + sum(crf.pairs[a + 1, b] for a, b in zip(labels, labels[1:]))
+            return steps + sum(emit[k, t, y] for t, y in enumerate(labels))
+
+        best = max(product(range(n), repeat=size), key=score)
+        assert tuple(got[k, :size].tolist()) == best
