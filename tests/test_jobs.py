@@ -194,18 +194,22 @@ def test_pca_is_centred(spark):
 
 def test_folds_never_see_validation_rows(features, monkeypatch):
     """Constant training labels outside a fold would be impossible if rows leaked."""
-    seen = []
-    real = training.fit_pipeline
+    seen, held = [], []
+    real = training.Folds.training
 
-    def watch(train, key, target, spec):
-        seen.append({r[0] for r in train.select(key).collect()})
-        return real(train, key, target, spec)
+    def watch(self, reducer):
+        for t in range(self.k):
+            own = self.rows.where(F.col("t") == t)
+            seen.append({r[0] for r in own.where("NOT valid").select("id").collect()})
+            held.append({r[0] for r in own.where("valid").select("id").collect()})
+        return real(self, reducer)
 
-    monkeypatch.setattr(training, "fit_pipeline", watch)
+    monkeypatch.setattr(training.Folds, "training", watch)
     spec = training.base_spec("logistic_regression", oversample=False, params={"max_iter": 5})
     folds = training.cross_validate(features, KEY, TARGET, spec, k=3)
     n = features.count()
     assert folds.count() == 3 and sum(n - len(s) for s in seen) == n
+    assert all(not a & b and len(a | b) == n for a, b in zip(seen, held))
 
 
 def test_predictor(spark, features, tmp_path):
