@@ -7,8 +7,9 @@ does not decode to the text again; where the two differ, its result replaces the
 many words and texts that happened.
 
 When no piece has the marker behind another character, no piece crosses the start of a word, and words encode
-independently: then each distinct word is encoded, and each distinct stretch of ids from a marker on is decoded, once
-per worker (tables bounded by bytes). Other models encode and decode whole texts.
+independently: then each distinct word is encoded once per worker, and its ids, which start with a marker, are decoded;
+a text all of whose words come back is what its ids decode to. Of other texts each distinct stretch of ids from a marker
+on is decoded once per worker (tables bounded by bytes). Other models encode and decode whole texts.
 
 Defined results: a null text is empty and has no ids; rows may repeat; other columns are not read. A text holding
 the marker character itself, or characters a normaliser changes, encodes as in sentencepiece but is not `lossless`.
@@ -21,22 +22,26 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retentia.llm.common import Generations, table
-from retentia.llm.pretokens import shared, text_groups
+from retentia.llm.pretokens import as_bytes, gathered, shared, text_groups
 
 MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
-# Bytes of each of a worker's two tables, of words and of stretches.
-TABLE_BYTES = 110_000_000
+# Bytes of a worker's two tables: three quarters for words, the rest for stretches.
+TABLE_BYTES = 220_000_000
+# Texts are worked on in groups of about so many characters: the larger the group, the fewer words are looked up.
+GROUP_CHARS = 2_000_000
+# What a word's entry says in its last number, behind the ids.
+DIFFERS, ALTERED = 1, 2
 # A space and the word behind it with the spaces before that; the spaces at the end.
 WORD = re.compile(" ( *[^ ]+| *$)")
 # Fixed values of the model format: piece types and model types.
@@ -158,10 +163,9 @@ class PieceCoder:
             and not any(MARKER in p.lstrip(MARKER) for p in usable)
         )
         self.starts = np.array([p.startswith(MARKER) for p in self.model.pieces])
-        # Ids by word, texts by stretch of ids.
-        self.ids, self.texts = Generations(TABLE_BYTES), Generations(TABLE_BYTES)
-        # Words on which the libraries differ.
-        self.odd: set[str] = set()
+        self.marked = frozenset(np.flatnonzero(self.starts).tolist())
+        # Ids and flags by word, texts by stretch of ids.
+        self.ids, self.texts = Generations(TABLE_BYTES * 3 // 4), Generations(TABLE_BYTES // 4)
 
     def _encoded(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """(ids, whether the libraries differ) of whole texts."""
@@ -185,38 +189,69 @@ class PieceCoder:
         if not self.by_word:
             coded, odd = self._encoded(texts)
             return [np.array(ids, "<u4") for ids in coded], list(map(int, odd))
-        split = [self.words(t) if t else [] for t in texts]
-        new = self.ids.missing(split)
-        coded, odd = self._words(new)
-        ends = list(accumulate(map(len, coded), initial=0))
-        data = np.fromiter(chain.from_iterable(coded), "<u4", ends[-1]).tobytes()
-        self.ids.young.update(zip(new, [data[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]))
-        self.odd.update(w for w, differs in zip(new, odd) if differs)
-        get = self.ids.young.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split], [sum(w in self.odd for w in words) if self.odd else 0 for words in split]
-
-    def _words(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """A word's prefix marker stands for the space before it; the empty word is that marker alone."""
+        return self._by_word(texts)[:2]
+
+    def _by_word(self, texts: list[str]) -> tuple[list[np.ndarray], list[int], list[bool]]:
+        """(uint32 ids, words that differed, whether the ids of every word decode to it) of each text."""
+        # Words with one space between each two are split in Arrow.
+        single = [t[:1] not in ("", " ") and t[-1] != " " and "  " not in t and MARKER not in t for t in texts]
+        split = pc.split_pattern(pa.array([t for t, s in zip(texts, single) if s], pa.string()), " ")
+        others = [self.words(t) if t else [] for t, s in zip(texts, single) if not s]
+        words = pa.concat_arrays([split.values, pa.array(list(chain.from_iterable(others)), pa.string())]).dictionary_encode()
+        values = self.ids.values(words.dictionary.to_numpy(zero_copy_only=False).tolist(), self._entries)
+        codes = words.indices.to_numpy()
+        ids, edges = gathered([v[:-4] for v in values], codes)
+        flags = np.fromiter((v[-4] for v in values), np.int64, len(values))
+        odd, altered = (np.concatenate([[0], np.cumsum((flags & f != 0)[codes])]) for f in (DIFFERS, ALTERED))
+        # Where each text's words start and end, in the order of the texts.
+        ends = split.offsets.to_numpy().astype(np.int64)
+        more = ends[-1] + np.cumsum([0, *map(len, others)])
+        place = np.concatenate([ends[:-1], more[:-1]]), np.concatenate([ends[1:], more[1:]])
+        order = np.argsort(np.argsort(~np.array(single, bool), kind="stable"))
+        low, high = (p[order] for p in place)
+        found = [ids[a:b] for a, b in zip(edges[low].tolist(), edges[high].tolist())]
+        return found, (odd[high] - odd[low]).tolist(), (altered[high] == altered[low]).tolist()
+
+    def _entries(self, words: list[str]) -> list[bytes]:
+        """Ids of each word and a number of flags; a word's prefix marker stands for the space before it, the empty word is that marker alone."""
         coded, odd = self._encoded([w for w in words if w])
         if "" in words:
             at = words.index("")
             coded.insert(at, [self.model.pieces.index(MARKER)]), odd.insert(at, False)
-        return coded, odd
+        back = self.inner.decode_batch(coded, skip_special_tokens=False)
+        starts = self.marked
+        return as_bytes([
+            [*ids, DIFFERS * differs | ALTERED * (text != " " + word or ids[0] not in starts)] for ids, differs, text, word in zip(coded, odd, back, words)
+        ])
+
+    def coded(self, texts: list[str]) -> tuple[list[np.ndarray], list[str], list[int]]:
+        """(uint32 ids, text decoded from them, how often the libraries differed) of each text."""
+        if not self.by_word:
+            ids, differ = self.encode_checked(texts)
+            rest = range(len(texts))
+        else:
+            ids, differ, same = self._by_word(texts)
+            rest = [k for k, (t, s) in enumerate(zip(texts, same)) if not s or MARKER in t]
+        back = list(texts)
+        for k, text, odd in zip(rest, *self.decode_checked([ids[k] for k in rest], [texts[k] for k in rest])):
+            back[k] = text
+            differ[k] += odd
+        return ids, back, differ
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts as the pipeline decodes them, of any ids."""
         if not self.by_word:
             return self.library.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
         cut = [self._stretches(own) for own in ids]
-        new = self.texts.missing(cut)
-        flat = np.frombuffer(b"".join(new), "<u4").tolist()
-        ends = list(accumulate((len(s) // 4 for s in new), initial=0))
-        self.texts.young.update(zip(new, self.inner.decode_batch([flat[a:b] for a, b in zip(ends, ends[1:])], skip_special_tokens=False)))
-        get = self.texts.young.__getitem__
+        distinct = list(set().union(*cut))
+        get = dict(zip(distinct, self.texts.values(distinct, self._spelled))).__getitem__
         out = ["".join(map(get, stretches)) for stretches in cut]
         # The prefix of a text is taken off, as the pipeline's last step does.
         return [t[1:] if t[:1] == " " else t for t in out]
 
+    def _spelled(self, stretches: list[bytes]) -> list[str]:
+        return self.inner.decode_batch([np.frombuffer(s, "<u4").tolist() for s in stretches], skip_special_tokens=False)
+
     def decode_checked(self, ids: list[np.ndarray], texts: list[str]) -> tuple[list[str], list[int]]:
         """(text, whether it had to be replaced) of the ids of each text: what is not the text again, sentencepiece decodes too."""
         back, odd = self.decode(ids), [0] * len(ids)
@@ -242,12 +277,11 @@ def _coded(documents: DataFrame, path: str, schema: str, columns) -> DataFrame:
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = shared(PieceCoder, path)
         for batch in batches:
-            for first, texts in text_groups(batch.column("text")):
-                ids, odd_words = coder.encode_checked(texts)
-                back, odd_texts = coder.decode_checked(ids, texts)
-                differ = pa.array([a + b for a, b in zip(odd_words, odd_texts)], pa.int64())
+            for first, texts in text_groups(batch.column("text"), GROUP_CHARS):
+                ids, back, differ = coder.coded(texts)
                 lossless = pa.array([a == b for a, b in zip(texts, back)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(texts)), *columns(ids, back), lossless, differ], names)
+                own = [batch.column("doc_id").slice(first, len(texts)), *columns(ids, back), lossless, pa.array(differ, pa.int64())]
+                yield pa.RecordBatch.from_arrays(own, names)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(coded, schema)

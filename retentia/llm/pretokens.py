@@ -12,6 +12,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 
@@ -25,6 +26,26 @@ WORD_BYTES, PRETOKEN_BYTES = 256_000_000, 96_000_000
 GROUP_CHARS = 500_000
 
 
+def as_bytes(coded: list[list[int]]) -> list[bytes]:
+    """Each list as little-endian uint32s."""
+    ends = list(accumulate(map(len, coded), initial=0))
+    data = np.fromiter(chain.from_iterable(coded), "<u4", ends[-1]).tobytes()
+    return [data[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+
+
+def gathered(values: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(uint32s, edges): the values at `codes` one after the other, and where each starts, with the end of the last."""
+    data = np.frombuffer(b"".join(values), "<u4")
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    starts = np.cumsum(sizes) - sizes
+    edges = np.concatenate([[0], np.cumsum(sizes[codes])])
+    # Narrow places where they fit.
+    kind = np.int32 if max(edges[-1], len(data)) < 1 << 31 else np.int64
+    at = np.repeat((starts[codes] - edges[:-1]).astype(kind), sizes[codes])
+    at += np.arange(edges[-1], dtype=kind)
+    return data.take(at), edges
+
+
 class PretokenEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers

@@ -128,3 +128,35 @@ def test_small_tables(monkeypatch):
     for _ in range(2):
         ids = coder.encode(TEXTS)
         assert [i.tolist() for i in ids] == want and coder.decode(ids) == coder.reference.decode(want)
+
+
+def test_each_word_once(monkeypatch):
+    """Words of all calls go to the libraries once each, and only texts with the marker are decoded stretch by stretch."""
+    coder, asked = PieceCoder(PATH), []
+    encoded = coder._encoded
+    monkeypatch.setattr(coder, "_encoded", lambda words: asked.extend(words) or encoded(words))
+    ids, back, differ = coder.coded(TEXTS)
+    again = coder.coded(TEXTS[::-1])
+    want = coder.reference.encode(TEXTS)
+    assert [i.tolist() for i in ids] == want == [i.tolist() for i in again[0]][::-1]
+    assert back == coder.reference.decode(want) == again[1][::-1] and differ == again[2] == [0] * len(TEXTS)
+    words = [w for t in TEXTS if t for w in PieceCoder.words(t) if w]
+    long = [w for w in words if len(w) > 256]
+    assert sorted(asked) == sorted([*set(words), *long])
+    assert set(coder.texts.young) == {s for k, t in enumerate(TEXTS) if "▁" in t for s in coder._stretches(ids[k])}
+
+
+def test_words_that_decode_otherwise(monkeypatch):
+    """A decoder that loses a word: texts with it, and only those, are not lossless by the pipeline and take sentencepiece's text."""
+    coder = PieceCoder(PATH)
+    inner = coder.inner
+
+    class Losing:
+        def decode_batch(self, ids, skip_special_tokens):
+            return [t.replace("other", "") for t in inner.decode_batch(ids, skip_special_tokens=skip_special_tokens)]
+
+    coder.inner = Losing()
+    texts = ["hello world", "the other", "", "  other  one ", "one"]
+    for _ in range(2):
+        ids, back, differ = coder.coded(texts)
+        assert back == texts and differ == [0, 1, 0, 1, 0]
