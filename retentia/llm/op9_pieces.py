@@ -32,14 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retentia.llm.common import Generations, table
-from retentia.llm.pretokens import as_bytes, gathered, shared, text_groups
+from retentia.llm.pretokens import GROUP_CHARS, as_bytes, gathered, shared, text_groups
 
 MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
 # Bytes of a worker's two tables: three quarters for words, the rest for stretches.
-TABLE_BYTES = 220_000_000
-# Texts are worked on in groups of about so many characters: the larger the group, the fewer words are looked up.
-GROUP_CHARS = 2_000_000
+TABLE_BYTES = 160_000_000
+# Texts are worked on in groups of about so many characters where only digests are made: the larger the group, the fewer
+# words are looked up. Where ids or texts go out, groups are small beside them.
+DIGEST_GROUP_CHARS = 2_000_000
 # What a word's entry says in its last number, behind the ids.
 DIFFERS, ALTERED = 1, 2
 # A space and the word behind it with the spaces before that; the spaces at the end.
@@ -270,14 +271,14 @@ class PieceCoder:
         return [data[a:b] for a, b in zip(edges, [*edges[1:], len(data)])]
 
 
-def _coded(documents: DataFrame, path: str, schema: str, columns) -> DataFrame:
+def _coded(documents: DataFrame, path: str, schema: str, columns, group_chars: int = GROUP_CHARS) -> DataFrame:
     """doc_id and what `columns` makes of (texts, ids, decoded texts) of every row, and how often the libraries differed."""
     names = [f.split()[0] for f in schema.split(", ")]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = shared(PieceCoder, path)
         for batch in batches:
-            for first, texts in text_groups(batch.column("text"), GROUP_CHARS):
+            for first, texts in text_groups(batch.column("text"), group_chars):
                 ids, back, differ = coder.coded(texts)
                 lossless = pa.array([a == b for a, b in zip(texts, back)], pa.bool_())
                 own = [batch.column("doc_id").slice(first, len(texts)), *columns(ids, back), lossless, pa.array(differ, pa.int64())]
@@ -307,7 +308,7 @@ def digest_documents(documents: DataFrame, path: str) -> DataFrame:
             pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string()),
         ]
 
-    return _coded(documents, path, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, lossless boolean, differ long", columns)
+    return _coded(documents, path, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, lossless boolean, differ long", columns, DIGEST_GROUP_CHARS)
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
