@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from retentia.llm.common import table
-from retentia.llm.pretokens import PretokenEncoder, shared, text_groups
+from retentia.llm.pretokens import PretokenEncoder, byte_groups, shared
 from retentia.session import scratch
 
 TOKENIZER = "word_bpe_49k.json"
@@ -60,10 +60,11 @@ class Plane:
 
     @staticmethod
     def pack(bits: np.ndarray) -> bytes:
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        starts = range(0, len(packed), BLOCK_BYTES)
+        packed = np.packbits(bits, bitorder="little")
+        starts = np.arange(0, len(packed), BLOCK_BYTES)
         blocks = [_squeeze(packed[i : i + BLOCK_BYTES]) for i in starts]
-        ones = np.add.reduceat(bits, np.arange(0, len(bits), BLOCK_BITS), dtype=np.uint64) if len(bits) else np.zeros(0, np.uint64)
+        # Bits behind the last one are zero.
+        ones = np.add.reduceat(np.bitwise_count(packed), starts, dtype=np.uint64) if len(bits) else np.zeros(0, np.uint64)
         before = np.concatenate([[0], np.cumsum(ones)[:-1]]) if len(bits) else ones
         at = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
         head = struct.pack("<Q", len(bits) - int(ones.sum())) + before.astype("<u8").tobytes() + at.astype("<u4").tobytes()
@@ -200,7 +201,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int =
 
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
-            for first, texts in text_groups(batch.column("text")):
+            for first, texts in byte_groups(batch.column("text")):
                 for k, own in enumerate(encoder.id_bytes(texts)):
                     own += end
                     if ids and held + len(own) // 4 > shard_tokens:

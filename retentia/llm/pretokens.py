@@ -4,6 +4,9 @@ For a normaliser that maps characters one by one and a pre-tokenizer that splits
 text are the ids of its pre-tokens one after the other. Which characters that holds for is asked of the library,
 character by character, when the encoder is built; a text with any other character, or with a special token's
 opening, goes through the library whole. So results equal the library's on every text.
+
+Many texts at once are cut into words by Arrow; only the distinct words of a group meet the table of words, and the
+ids of the texts are gathered from theirs by number.
 """
 
 from __future__ import annotations
@@ -12,18 +15,29 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate, chain, repeat
+from string import ascii_letters
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from retentia.llm.common import Made, held
+from retentia.llm.common import Generations, Made, held
 
 # Characters asked about: Latin blocks and general punctuation.
 CANDIDATES = [*range(0x00, 0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC, 0x2122]
 # Bytes of the tables of white-space words and of pre-tokens.
-WORD_BYTES, PRETOKEN_BYTES = 256_000_000, 96_000_000
+WORD_BYTES, PRETOKEN_BYTES = 256_000_000, 160_000_000
 # Texts are worked on in groups of about so many characters, whatever the Arrow batch holds.
 GROUP_CHARS = 500_000
+# Groups whose words are numbered are larger, so that most words are not the first of their kind.
+GROUP_BYTES = 24_000_000
+# So many pre-tokens go through the model in one call.
+JOINED = 2000
+# In place of a word's ids: its texts go through the library whole. No ids have one byte.
+ODD = b"?"
+# Where Arrow cuts words: white space of one byte.
+CUTS = " \t\n\x0b\x0c\r"
 
 
 def as_bytes(coded: list[list[int]]) -> list[bytes]:
@@ -61,9 +75,13 @@ class PretokenEncoder:
             [(self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.library.get_vocab_size())]
         )
         self._learn_characters(self._split_pattern(spec))
-        self.cache = Made(self.merge, PRETOKEN_BYTES)
+        # Where each spelled byte has an id as a last one, an id that ends a pre-token shows where the next one starts.
+        self.ends_show = all(self.library.token_to_id(c + "</w>") is not None for c in pre_tokenizers.ByteLevel.alphabet())
+        self.joined = Tokenizer(self.library.model)
+        self.joined.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        self.cache = Generations(PRETOKEN_BYTES)
         # No pre-token of a plain text reaches over white space, so that the ids of a word are those of its pre-tokens.
-        self.words = Made(lambda word: b"".join(map(self.cache.__getitem__, self.split(word))), WORD_BYTES)
+        self.words = Generations(WORD_BYTES)
 
     @staticmethod
     def _split_pattern(spec: dict) -> str | None:
@@ -105,6 +123,11 @@ class PretokenEncoder:
             return "".join(map(re.escape, sorted(set(chars))))
 
         self.odd = re.compile(f"[^{group(every)}]") if every else re.compile("(?s:.)")
+        letters = set(kinds["letter"])
+        self.by_words = letters.issuperset(ascii_letters) and set(kinds["space"]).issuperset(CUTS)
+        self.letters_show = letters == {c for c in every if c.isalpha()}
+        # The spelling of the characters beyond printable ASCII, byte by byte.
+        self.spelling = {ord(c): self.bytes_as_characters.pre_tokenize_str(c)[0][0] for c in every if not (c.isascii() and c.isprintable())}
         if every:
             # Nothing before the letters' alternative starts with a letter, so that one may come first.
             first = pattern.split(r"[\p{L}]+")[0].split("|")
@@ -121,16 +144,62 @@ class PretokenEncoder:
 
     def merge(self, token: str) -> bytes:
         """Ids of one pre-token as little-endian uint32, by the library's model: normaliser and splitter are done."""
-        spelled = token if token.isascii() and token.isprintable() else self.bytes_as_characters.pre_tokenize_str(token)[0][0]
+        spelled = token if token.isascii() and token.isprintable() else token.translate(self.spelling)
         return array("I", [piece.id for piece in self.library.model.tokenize(spelled)]).tobytes()
 
+    def _merged(self, tokens: list[str]) -> list[bytes]:
+        """The same for many: one call of the model for the spellings between blanks."""
+        if not self.ends_show:
+            return list(map(self.merge, tokens))
+        made = []
+        for first in range(0, len(tokens), JOINED):
+            some = tokens[first : first + JOINED]
+            spelled = " ".join([t if t.isascii() and t.isprintable() else t.translate(self.spelling) for t in some])
+            ids = np.array(self.joined.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()
+            if len(ends) == len(some):
+                data = ids.tobytes()
+                made += [data[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                made += map(self.merge, some)
+        return made
+
+    def _word_bytes(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space of one byte, or ODD where the text has to go whole."""
+        joined = "\n".join(words)
+        plain = repeat(True) if self.plain(joined) else map(self.plain, words)
+        # Characters of other words may be more than one in lower case, but never an end of line.
+        lower, alone = joined.lower().split("\n"), self.letters_show
+        # A word of letters is one pre-token.
+        parts = [(w if alone and w.isalpha() else self.split(w)) if ok else None for ok, w in zip(plain, lower)]
+        lists = [p for p in parts if type(p) is list]
+        tokens = list(dict.fromkeys(chain([p for p in parts if type(p) is str], chain.from_iterable(lists))))
+        ids = dict(zip(tokens, self.cache.values(tokens, self._merged)))
+        return [ODD if p is None else ids[p] if type(p) is str else b"".join([ids[t] for t in p]) for p in parts]
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def id_bytes(self, texts: list[str]) -> list[bytes]:
+    def id_bytes(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        get = self.words.__getitem__
-        return [b"".join(map(get, t.lower().split())) if self.plain(t) else self._whole(t) for t in texts]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        if not self.by_words:
+            return [self._whole(t) for t in texts.to_pylist()]
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        numbered = split.flatten().dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        values = pa.array(self.words.values(words, self._word_bytes), pa.large_binary())
+        coded, rows = values.take(numbered.indices), split.offsets.to_numpy()
+        whole = np.zeros(len(texts), bool)
+        odd = pc.binary_length(values).to_numpy() == len(ODD)
+        if odd.any():
+            seen = np.concatenate([[0], np.cumsum(odd[numbered.indices.to_numpy()])])[rows]
+            whole = seen[1:] > seen[:-1]
+        _, edges, data = coded.buffers()
+        ends = np.frombuffer(edges, "<i8")[rows].tolist()
+        data = memoryview(data or b"")
+        return [self._whole(texts[k].as_py()) if whole[k] else bytes(data[a:b]) for k, (a, b) in enumerate(zip(ends, ends[1:]))]
 
 
 class PretokenCounter(PretokenEncoder):
@@ -178,3 +247,14 @@ def text_groups(texts, limit: int = GROUP_CHARS) -> Iterator[tuple[int, list[str
         size += len(text)
     if group:
         yield first, group
+
+
+def byte_groups(texts: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, slice) groups of an Arrow string column without nulls; a longer text is a group of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield first, texts.slice(first, last - first)
+        first = last

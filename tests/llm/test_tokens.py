@@ -5,12 +5,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from retentia.llm.op1_wavelet import WaveletShard, read_documents, write_shards
 from retentia.llm.op8_token_counts import count_tokens
-from retentia.llm.pretokens import PretokenCounter, PretokenEncoder, shared
+from retentia.llm.pretokens import PretokenCounter, PretokenEncoder, byte_groups, shared
 from retentia.session import scratch
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +61,33 @@ def test_small_cache_gives_the_same():
     assert encoder.id_bytes(TEXTS) == shared(PretokenEncoder, PATH).id_bytes(TEXTS)
 
 
+def test_new_words_are_merged_together():
+    encoder, lib = PretokenEncoder(PATH), library()
+    encoder.merge = None  # one pre-token at a time
+    words = ["".join(random.Random(i).choices("abcdeéñöß'.,$17ÀZ", k=12)) for i in range(5000)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 40)] + ["", "a\x0bb\x0cc\rd\te\nf g\x1fh\x85i\xa0j\u2003k", "\n\n x \t"]
+    want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.id_bytes(pa.array(texts)) == want
+    assert encoder.id_bytes(pa.array(["x", *texts]).slice(1)) == want
+
+
+def test_one_odd_word_takes_its_texts_whole():
+    encoder, lib = PretokenEncoder(PATH), library()
+    texts = ["one two", "two 日本 one", "one", "İ one", "日本 two", "two<|endoftext|>", "", "Σ two ΑΣ", "e\u0301 one", "one two"]
+    for _ in range(2):
+        assert encoder.id_bytes(texts) == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_byte_groups_hold_every_row_once():
+    texts = ["", "é" * 3, "abc", "", "x" * 50, "y", "", ""]
+    for limit in (1, 6, 9, 1000):
+        groups = list(byte_groups(pa.array(texts), limit))
+        assert [t for _, g in groups for t in g.to_pylist()] == texts
+        assert [first for first, _ in groups] == np.cumsum([0, *(len(g) for _, g in groups)])[:-1].tolist()
+        assert all(len(g) == 1 or sum(len(t.encode()) for t in g.to_pylist()) <= limit for _, g in groups)
+    assert list(byte_groups(pa.array([], pa.string()))) == []
+
+
 def test_counts(spark):
     rows = [(i, t, i, "x") for i, t in enumerate(TEXTS)] + [(None, "a b", 1, None), (3, None, None, None), (3, None, None, None)]
     got = count_tokens(spark.createDataFrame(rows, DOC), PATH, 5).collect()
