@@ -46,6 +46,9 @@ TESTED_AT_ONCE = 64
 HELD_SHINGLES = 1_000_000
 # Ids take 16 bytes each in a broadcast relation; more are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
+# Edges of the label graph that one task of a round takes; the graph is counted first, so that a small one is not dealt
+# over every shuffle partition, round by round.
+EDGES_A_TASK = 50_000
 # Bytes of a worker's table of word hashes.
 WORD_BYTES = 48_000_000
 
@@ -181,28 +184,31 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(confirmed, "a long, b long").distinct()
+    return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(confirmed, "a long, b long")
 
 
 def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     """`labels` (node, label) after joining the components that `links` (a, b) connect; a label is the smallest node.
 
     Works on the labels that the links touch: each takes the smallest root among its neighbours, then its root's
-    root, until no root moves. Every round is one small job whose result is written.
+    root, until no root moves. Every round is one small job whose result is written, in as many tasks as its edges need.
+    `links` may repeat.
     """
     named = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "x")
     other = labels.withColumnRenamed("node", "b").withColumnRenamed("label", "y")
     once = links.join(named, "a").join(other, "b").where("x != y").select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e"))
     edges = written(once.select("e.x", "e.y").distinct(), "op5-edges")
-    if not edges.take(1):
+    width = math.ceil(edges.count() / EDGES_A_TASK)
+    if not width:
         return labels
     roots = edges.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("root"))
-    roots = written(roots, "op5-roots")
+    roots = written(roots.coalesce(width), "op5-roots")
     while True:
         lower = edges.join(roots.select(F.col("x").alias("y"), F.col("root").alias("r")), "y").groupBy("x").agg(F.min("r").alias("r"))
         met = roots.join(lower, "x").select("x", "root", F.least("root", "r").alias("up"))
         above = roots.select(F.col("x").alias("up"), F.col("root").alias("top"))
-        moved = written(met.join(above, "up").select("x", F.least("up", "top").alias("root"), (F.least("up", "top") < F.col("root")).alias("moved")), "op5-moved")
+        moved = met.join(above, "up").select("x", F.least("up", "top").alias("root"), (F.least("up", "top") < F.col("root")).alias("moved"))
+        moved = written(moved.coalesce(width), "op5-moved")
         roots = moved.select("x", "root")
         if not moved.where("moved").take(1):
             break
@@ -219,8 +225,7 @@ def crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def likeliest(pairs: DataFrame) -> DataFrame:
     """Of each node the pair with most matches (ties: the smaller partner)."""
     ends = pairs.select(F.col("a").alias("n"), F.col("b").alias("o"), "matches").unionByName(pairs.select(F.col("b").alias("n"), F.col("a").alias("o"), "matches"))
-    best = ends.groupBy("n").agg(F.max("matches").alias("matches"))
-    top = ends.join(best, ["n", "matches"]).groupBy("n").agg(F.min("o").alias("o"))
+    top = ends.groupBy("n").agg(F.max_by("o", F.struct("matches", F.bitwise_not("o"))).alias("o"))
     return top.select(F.least("n", "o").alias("a"), F.greatest("n", "o").alias("b")).distinct()
 
 
@@ -285,7 +290,7 @@ def small_bucket_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> Dat
 
     cells = rows.select("key", "band", "node", "label").join(classes.select(F.col("rep").alias("node"), "signature"), "node")
     ordered = cells.repartition("key").sortWithinPartitions("key")
-    return ordered.select("key", "band", "node", "label", "signature").mapInArrow(tested, "a long, b long, matches long").distinct()
+    return ordered.select("key", "band", "node", "label", "signature").mapInArrow(tested, "a long, b long, matches long")
 
 
 def large_bucket_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
@@ -343,7 +348,7 @@ def large_bucket_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, per
 
     columns = ["key", "band", "row", "col", "node", "label", "left", "minor", "signature", "shingles"]
     ordered = cells.select(*columns).repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
-    return ordered.mapInArrow(tested, "a long, b long").distinct()
+    return ordered.mapInArrow(tested, "a long, b long")
 
 
 def similar(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:

@@ -158,3 +158,38 @@ def test_relabel(spark):
         x, y = sorted((find(a), find(b)))
         parent[y] = x
     assert found == {k: find(k) for k in range(300)}
+
+
+@pytest.mark.parametrize("edges_a_task, most", [(50_000, 1), (16, 8)])
+def test_rounds_take_as_many_tasks_as_their_edges_need(spark, monkeypatch, edges_a_task, most):
+    """A small label graph is not dealt over every shuffle partition, round by round."""
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    tasks = []
+
+    def written(df, label):
+        if label in ("op5-roots", "op5-moved"):
+            tasks.append(df.rdd.getNumPartitions())
+        return keep(df, label)
+
+    keep = dedup.written
+    monkeypatch.setattr(dedup, "written", written)
+    monkeypatch.setattr(dedup, "EDGES_A_TASK", edges_a_task, raising=False)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        labels = spark.createDataFrame([(k, k) for k in range(70)], "node long, label long")
+        links = spark.createDataFrame([(k, k + 1) for k in range(0, 60)] * 2, "a long, b long")
+        found = {r["node"]: r["label"] for r in dedup.relabel(labels, links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {k: 0 if k <= 60 else k for k in range(70)}
+    assert len(tasks) > 2 and max(tasks) <= most
+
+
+def test_likeliest(spark):
+    """Most matches first, then the smaller partner; ids may be any long."""
+    low = -(1 << 63)
+    pairs = spark.createDataFrame([(1, 2, 90), (1, 3, 95), (2, 3, 95), (low, 4, 80), (4, 5, 80)], "a long, b long, matches long")
+    assert sorted(tuple(r) for r in dedup.likeliest(pairs).collect()) == [(low, 4), (1, 3), (2, 3), (4, 5)]
